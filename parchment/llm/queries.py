@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from parchment.llm.common import table
 from parchment.llm.exact import exact_groups
+from parchment.llm.license import duckdb_sql as license_sql
+from parchment.llm.license import scan_licenses
+from parchment.llm.mixing import mix
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +20,22 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept", F.col("digest").alias("text_sha256"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    out = scan_licenses(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources weigh 1, 2, 3, repeating, within 3 times their size; how often the mix takes each document."""
+    out = mix(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "rate")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_license_scan": op7_license_scan,
+    "op10_entropy_mix": op10_entropy_mix,
 }
 
 SQL: dict[str, str] = {
@@ -28,4 +45,5 @@ SQL: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op7_license_scan": license_sql(),
 }
