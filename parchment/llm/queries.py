@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from parchment.llm.exact import exact_groups
 from parchment.llm.license import duckdb_sql as license_sql
 from parchment.llm.license import scan_licenses
 from parchment.llm.mixing import mix
+from parchment.llm.packing import pack_documents
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +28,12 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens and end id in sequences of 2048."""
+    out = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2048)
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources weigh 1, 2, 3, repeating, within 3 times their size; how often the mix takes each document."""
     out = mix(table(spark, sf_dir, "documents"))
@@ -35,6 +43,7 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op10_entropy_mix": op10_entropy_mix,
 }
 
