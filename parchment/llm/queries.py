@@ -14,6 +14,13 @@ from parchment.llm.license import duckdb_sql as license_sql
 from parchment.llm.license import scan_licenses
 from parchment.llm.mixing import mix
 from parchment.llm.packing import pack_documents
+from parchment.llm.simhash import near_groups
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 3-word shingles, linked at 2 or fewer differing bits."""
+    out = near_groups(table(spark, sf_dir, "documents"), words=3, seed=42, threshold=2)
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +48,7 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
