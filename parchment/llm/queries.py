@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parchment.llm.common import table
+from parchment.llm.common import crc_mod, table
 from parchment.llm.exact import exact_groups
+from parchment.llm.langid import identify
 from parchment.llm.license import duckdb_sql as license_sql
 from parchment.llm.license import scan_licenses
 from parchment.llm.mixing import mix
 from parchment.llm.packing import pack_documents
 from parchment.llm.simhash import near_groups
+from parchment.llm.winnow import edit_fingerprints
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +25,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all texts, learned where crc32 of the id is no multiple of 5."""
+    docs = table(spark, sf_dir, "documents")
+    out = identify(docs, docs.where(crc_mod("doc_id", 5) != 0))
+    return out.select(F.col("id").alias("doc_id"), (crc_mod("id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op5_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return edit_fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row with the largest doc_id of each group of byte-equal texts stays."""
     out = exact_groups(table(spark, sf_dir, "documents"), keep="max")
@@ -49,6 +63,8 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op4_language_id": op4_language_id,
+    "op5_winnow": op5_winnow,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
