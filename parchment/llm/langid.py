@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import text_of
+from parchment.llm.common import sampled
 
 #: What is given to a text that is null or has no letter.
 UNKNOWN = "und"
@@ -49,13 +49,13 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", documents: int = 6000, words: int = 60_000, grams: int = 60_000, smooth: float = 0.1) -> Model:
-    """Learns from at most `documents` whole documents with a language, those with the least hashes of their ids.
+    """Learns from about `documents` whole documents with a language, those with the least hashes of their ids.
 
     The model holds at most `words` words and `grams` n-grams, the most frequent ones, so what reaches
-    the driver and the workers is bounded by these three parameters.
+    the driver and the workers is bounded by the other two.
     """
     sample = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sample = sample.where("text IS NOT NULL AND lang IS NOT NULL").orderBy(F.xxhash64("id"), "id", "lang", "text").limit(documents)
+    sample = sampled(sample.where("text IS NOT NULL AND lang IS NOT NULL"), documents)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()

@@ -127,13 +127,14 @@ def repeat(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
 
     Rows that share an id and size share the copies of all of them: they are alike to the mix.
     """
-    size = F.regexp_count(text_of(how.get("text_col", "text")), F.lit(WORD)).cast("long")
-    source = how.get("source_col", "source")
-    taken = mix(docs, id_col, **how).groupBy("id", "source", "size").agg(F.array_sort(F.collect_list("copies")).alias("_copies"))
-    taken = taken.select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_copies")
-    same = docs[id_col].eqNullSafe(F.col("_id")) & docs[source].cast("string").eqNullSafe(F.col("_source")) & (size == F.col("_size"))
-    rows = docs.join(taken, same)
-    one = Window.partitionBy("_id", "_source", "_size").orderBy(F.lit(1))
-    rows = rows.withColumn("_nth", F.row_number().over(one))
-    rows = rows.withColumn("_times", F.element_at("_copies", F.col("_nth")).cast("int")).where("_times > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*[docs[c] for c in docs.columns])
+    names = set(docs.columns)
+    c = {x: next(f"_{x}{i}" for i in range(99) if f"_{x}{i}" not in names) for x in ("id", "source", "size", "copies", "nth", "copy")}
+    source, text = how.get("source_col", "source"), how.get("text_col", "text")
+    taken = mix(docs, id_col, **how).groupBy("id", "source", "size").agg(F.array_sort(F.collect_list("copies")).alias(c["copies"]))
+    taken = taken.select(*[F.col(x).alias(c[x]) for x in ("id", "source", "size")], c["copies"])
+    size = F.regexp_count(text_of(text), F.lit(WORD)).cast("long")
+    rows = docs.join(taken, docs[id_col].eqNullSafe(F.col(c["id"])) & docs[source].cast("string").eqNullSafe(F.col(c["source"])) & (size == F.col(c["size"])))
+    one = Window.partitionBy(c["id"], c["source"], c["size"]).orderBy(text)
+    rows = rows.withColumn(c["nth"], F.row_number().over(one))
+    times = F.element_at(c["copies"], F.col(c["nth"])).cast("int")
+    return rows.withColumn(c["copy"], F.explode(F.when(times > 0, F.sequence(F.lit(1), times)))).select(docs.columns)

@@ -15,6 +15,7 @@ from parchment.llm.license import duckdb_sql as license_sql
 from parchment.llm.license import scan_licenses
 from parchment.llm.mixing import mix
 from parchment.llm.packing import pack_documents
+from parchment.llm.quality import rate_documents
 from parchment.llm.simhash import near_groups
 from parchment.llm.winnow import edit_fingerprints
 
@@ -55,6 +56,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all texts, learned where crc32 of the id modulo 4 is not 2."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality")
+    learn = crc_mod("doc_id", 4) != 2
+    out = rate_documents(docs, docs.where(learn), labels.where(learn))
+    return out.select(F.col("id").alias("doc_id"), (crc_mod("id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources weigh 1, 2, 3, repeating, within 3 times their size; how often the mix takes each document."""
     out = mix(table(spark, sf_dir, "documents"))
@@ -68,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_quality": op9_quality,
     "op10_entropy_mix": op10_entropy_mix,
 }
 
