@@ -13,6 +13,7 @@ from parchment.llm.exact import exact_groups
 from parchment.llm.langid import identify
 from parchment.llm.license import duckdb_sql as license_sql
 from parchment.llm.license import scan_licenses
+from parchment.llm.lm_mixing import score as lm_score
 from parchment.llm.mixing import mix
 from parchment.llm.packing import pack_documents
 from parchment.llm.quality import rate_documents
@@ -20,6 +21,11 @@ from parchment.llm.simhash import near_groups
 from parchment.llm.winnow import edit_fingerprints
 
 
+def op1_lm_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all texts, learned where crc32 of the id modulo 7 is not 2."""
+    return lm_score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 3-word shingles, linked at 2 or fewer differing bits."""
     out = near_groups(table(spark, sf_dir, "documents"), words=3, seed=42, threshold=2)
@@ -71,6 +77,7 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_mixing": op1_lm_mixing,
     "op2_simhash": op2_simhash,
     "op4_language_id": op4_language_id,
     "op5_winnow": op5_winnow,
