@@ -18,6 +18,7 @@ from parchment.llm.mixing import mix
 from parchment.llm.packing import pack_documents
 from parchment.llm.quality import rate_documents
 from parchment.llm.simhash import near_groups
+from parchment.llm.substring import remove_repeats
 from parchment.llm.winnow import edit_fingerprints
 
 
@@ -32,6 +33,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words under windows of 13 words that a smaller document has too are removed."""
+    return remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("kept")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all texts, learned where crc32 of the id is no multiple of 5."""
     docs = table(spark, sf_dir, "documents")
@@ -79,6 +85,7 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_mixing": op1_lm_mixing,
     "op2_simhash": op2_simhash,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_language_id": op4_language_id,
     "op5_winnow": op5_winnow,
     "op6_exact_dedup": op6_exact_dedup,
@@ -96,4 +103,14 @@ SQL: dict[str, str] = {
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
     "op7_license_scan": license_sql(),
+    "op3_substring_dedup": r"""
+        WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        places AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words),
+        windows AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s FROM places),
+        firsts AS (SELECT s, min(doc_id) AS d FROM windows GROUP BY s),
+        gone AS (SELECT doc_id, list(DISTINCT i + k) AS p FROM (SELECT doc_id, i, unnest(range(0, 13)) AS k FROM windows JOIN firsts USING (s) WHERE d < doc_id) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, len(coalesce(p, []))::BIGINT AS n_removed,
+               sha256(coalesce(array_to_string(CASE WHEN p IS NULL THEN w ELSE list_filter(w, lambda x, j: NOT list_contains(p, j)) END, ' '), '')) AS kept_sha256
+        FROM words LEFT JOIN gone USING (doc_id)
+    """,
 }
