@@ -1 +1 @@
-
+"""Operators over tables of documents, pages, blocks, words and table cells."""
