@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parchment.functions import html as H
 from parchment.functions import text as X
-from parchment.operators import compare, datasets, geometry, parsing, profiling, quality, render, tables
+from parchment.operators import compare, datasets, geometry, page_text, parsing, profiling, quality, render, tables
 from parchment.sources import fixtures as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -399,3 +399,45 @@ def refine_tables(spark, sf_dir):
     more = F.replace("html", F.lit("</table>"), F.lit("<tr><td>a</td><td>b</td><td>c</td></tr></table>"))
     c = t.where("orderkey % 4 <> 0").select("orderkey", F.lit(1).alias("candidate_ord"), F.when(F.col("orderkey") % 4 == 1, more).otherwise(F.col("html")).alias("html"), "markdown", "text", F.lit(0.85).alias("confidence"))
     return tables.refine(t, c, ["orderkey"]).select("orderkey", "status", "reason")
+
+
+@query("SELECT page_id AS doc_id, 1 AS page_no, '<table><tr><td>a</td></tr><tr><td>b</td></tr></table>' AS html FROM pages")
+def best_tables(spark, sf_dir):
+    return parsing.best_table(parsing.explode_objects(S.page_json(spark, sf_dir)))
+
+
+@query(f"WITH {S.SQL_BLOCKS} SELECT doc_id, page_no AS page, block_id, text AS response FROM blocks WHERE block_type IN ('text', 'title') AND len(trim(text)) >= 5")
+def text_samples(spark, sf_dir):
+    b = S.blocks(spark, sf_dir).withColumns({"image": F.lit("i"), "source": F.col("doc_id").cast("string")})
+    return datasets.text_samples(b).select(F.col("source").cast("long").alias("doc_id"), "page", "block_id", "response")
+
+
+@query(f"WITH {S.SQL_BLOCKS} SELECT doc_id, page_no, block_id, round(CASE WHEN text = '7 7 7' THEN 0.0 ELSE 1.0 END::DOUBLE, 6) AS source_coverage FROM final_blocks WHERE review AND text <> ''")
+def covered_blocks(spark, sf_dir):
+    """Flagged blocks of table-heavy pages, with the share of their tokens in a source that lacks the number 7."""
+    b = quality.score_blocks(S.blocks(spark, sf_dir)).withColumn("source_text", F.when(F.col("text") == "7 7 7", "8").otherwise(F.concat(F.col("text"), F.lit(" more"))))
+    return compare.covered_blocks(b).select("doc_id", "page_no", "block_id", F.round("source_coverage", 6).alias("source_coverage"))
+
+
+def _spanned(spark, sf_dir):
+    """A title and a table a page; the table's first row spans two rows over the words of its page."""
+    b = S.table_boxes(spark, sf_dir)
+    html = '<table><tr><th rowspan="2" colspan="2">qty</th><th rowspan="2">금액</th></tr><tr><td>1</td></tr><tr><td>2</td><td>3</td><td>4</td></tr></table>'
+    cols = ["doc_id", "page_no", "block_ord", "block_type", "text", "html", "x0", "y0", "x1", "y1"]
+    title = b.withColumns({"block_ord": F.lit(0), "block_type": F.lit("title"), "text": F.lit("1. Order"), "html": F.lit("")})
+    return title.select(cols).unionByName(b.withColumns({"block_type": F.lit("table"), "text": F.lit(""), "html": F.lit(html)}).select(cols))
+
+
+@query(f"""WITH {S.SQL_BOXES}, c AS (SELECT b.*, s.i, b.x0 + s.a * (b.x1 - b.x0) / 3 AS cx0, b.x0 + s.z * (b.x1 - b.x0) / 3 AS cx1, b.y0 + (b.y1 - b.y0) / 3 AS ry0, b.y0 + 2 * (b.y1 - b.y0) / 3 AS ry1 FROM boxes b, (VALUES (0, 0, 2), (1, 2, 3)) s(i, a, z)),
+    h AS (SELECT DISTINCT c.doc_id, c.page_no, i FROM c JOIN words w ON c.doc_id = w.doc_id AND c.page_no = w.page_no AND w.x0 >= c.x0 AND w.y0 >= c.y0 AND w.x1 <= c.x1 AND w.y1 <= c.y1 AND (w.x0 + w.x1) / 2 BETWEEN cx0 AND cx1 AND (w.y0 + w.y1) / 2 BETWEEN ry0 AND ry1)
+    SELECT c.doc_id, c.page_no, c.i AS cell_ord, CASE WHEN h.i IS NULL THEN 2 ELSE 1 END AS rowspan FROM c LEFT JOIN h ON c.doc_id = h.doc_id AND c.page_no = h.page_no AND c.i = h.i""")
+def span_conflicts(spark, sf_dir):
+    t = _spanned(spark, sf_dir).where("block_type = 'table'")
+    cells = page_text.first_row_cells(t)
+    shape = t.select("doc_id", "page_no", "block_ord", "x0", "y0", "x1", "y1", F.lit(3).alias("rows"), F.lit(3).alias("cols"))
+    return geometry.span_conflicts(cells, S.words(spark, sf_dir), shape).select("doc_id", "page_no", "cell_ord", "rowspan")
+
+
+@query()
+def repair_from_words(spark, sf_dir):
+    return page_text.repair_from_words(_spanned(spark, sf_dir), S.words(spark, sf_dir)).select("doc_id", "page_no", "html", "pdf_text_repaired")

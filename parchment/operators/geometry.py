@@ -136,6 +136,7 @@ def span_conflicts(cells: DataFrame, words: DataFrame, columns: DataFrame) -> Da
     c = c.withColumns({"cx0": F.col("x0") + F.col("start") * cw, "cx1": F.col("x0") + (F.col("start") + F.col("colspan")) * cw, "ry0": F.col("y0") + rh, "ry1": F.col("y0") + 2 * rh}).alias("c")
     w = words.withColumns({"cx": (F.col("x0") + F.col("x1")) / 2, "cy": (F.col("y0") + F.col("y1")) / 2}).alias("w")
     on = (F.col("c.doc_id") == F.col("w.doc_id")) & (F.col("c.page_no") == F.col("w.page_no")) & (F.col("c.rowspan") > 1) & F.col("w.cx").between(F.col("c.cx0"), F.col("c.cx1")) & F.col("w.cy").between(F.col("c.ry0"), F.col("c.ry1"))
+    on &= (F.col("w.x0") >= F.col("c.x0")) & (F.col("w.y0") >= F.col("c.y0")) & (F.col("w.x1") <= F.col("c.x1")) & (F.col("w.y1") <= F.col("c.y1"))
     keys = ["doc_id", "page_no", "block_ord", "cell_ord"]
     found = c.join(w, on, "left_semi").select(*keys).withColumn("hit", F.lit(1))
     return cells.join(found, keys, "left").withColumn("rowspan", F.col("rowspan") - F.coalesce("hit", F.lit(0))).drop("hit")

@@ -123,6 +123,13 @@ def classify(nodes: DataFrame, engine: str = "paddle_vl") -> DataFrame:
     return rows.select("doc_id", "page_no", "block_ord", "block_id", "block_type", "bbox", "text", "html", "markdown", "confidence", "raw_type", F.lit(engine).alias("source_engine"))
 
 
+def best_table(nodes: DataFrame) -> DataFrame:
+    """(doc_id, page_no, html): the longest table of a page's objects, from HTML or markdown, the first of ties; empty without one."""
+    rows = nodes.withColumn("md_html", pipe_table_to_html(F.col("markdown")))
+    longest = F.greatest(*[F.struct(F.char_length(c).alias("n"), (-F.col("node_ord") * 2 - i).alias("at"), F.col(c).alias("html")) for i, c in enumerate(("html", "md_html"))])
+    return rows.groupBy("doc_id", "page_no").agg(F.max(longest).alias("b")).select("doc_id", "page_no", F.col("b.html").alias("html"))
+
+
 def page_sizes(pages: DataFrame) -> DataFrame:
     """(doc_id, page_no, raw) -> width, height and image path by the names they can have; 0 counts as missing, 1 stands for unknown."""
     number = lambda p: F.nullif(F.get_json_object("raw", p).cast("int"), F.lit(0))

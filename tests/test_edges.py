@@ -213,3 +213,21 @@ def test_empty_tables(spark):
     e = spark.createDataFrame([], BLOCKS + ", block_ord int, block_id string, bbox array<double>")
     assert quality.score_blocks(e).count() == 0 and tables.split_merged_blocks(e).count() == 0
     assert parsing.classify(parsing.explode_objects(spark.createDataFrame([], "doc_id long, page_no int, raw string"))).count() == 0
+
+
+def test_repair_from_words(spark):
+    from parchment.operators.page_text import lower_spans, repair_from_words
+
+    html = '<table><tr><th rowspan="2" colspan="2">B</th><th rowspan="2">C</th></tr><tr><td>x</td></tr></table>'
+    blocks = spark.createDataFrame([(1, 1, 1, "table", "", html, 0.0, 0.0, 300.0, 100.0)], "doc_id int, page_no int, block_ord int, block_type string, text string, html string, x0 double, y0 double, x1 double, y1 double")
+    words = spark.createDataFrame([(1, 1, 1, 5.0, 2.0, 15.0, 10.0, "A"), (1, 1, 2, 20.0, 2.0, 40.0, 10.0, "B"), (1, 1, 3, 250.0, 60.0, 280.0, 70.0, "under")], "doc_id int, page_no int, word_ord int, x0 double, y0 double, x1 double, y1 double, token string")
+    got = repair_from_words(blocks, words).first()
+    assert got.html == '<table><tr><th rowspan="2">A</th><th rowspan="2">B</th><th>C</th></tr><tr><td>x</td></tr></table>' and got.pdf_text_repaired
+    assert not repair_from_words(blocks, words.limit(0)).first().pdf_text_repaired
+    assert lower_spans("<table></table>", [0]) == "<table></table>"
+
+
+def test_best_table(spark):
+    page = {"a": {"html": "<table>1</table>"}, "b": {"md": "| a | b |\n|---|---|\n| 1 | 2 |\n"}}
+    got = parsing.best_table(parsing.explode_objects(raw(spark, page, {}))).orderBy("page_no").collect()
+    assert got[0].html.startswith("<table><thead>") and got[1].html == ""
