@@ -176,16 +176,12 @@ def _gathered(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of ones and of all bits by slot over a task's words."""
-    ones, seen = np.zeros(SLOTS, np.float32), np.zeros(SLOTS, np.float32)
+    ones, seen = np.zeros(SLOTS), np.zeros(SLOTS)
     for tokens, c in _batches(batches):
         for token, bit, _, slots in _steps(tokens):
-            weight = np.repeat(c[token].astype(np.float64), 8)
-            for k in range(K):
-                order = np.argsort(slots[k], kind="stable")
-                s = slots[k][order]
-                starts = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-                seen[s[starts]] += np.add.reduceat(weight[order], starts)
-                ones[s[starts]] += np.add.reduceat((weight * bit)[order], starts)
+            weight, one = np.repeat(c[token].astype(np.float64), 8), bit == 1
+            np.add.at(seen, slots.ravel(), np.tile(weight, K))
+            np.add.at(ones, slots[:, one].ravel(), np.tile(weight[one], K))
     yield from _blocks(ones, seen)
 
 
