@@ -30,9 +30,12 @@ PIECES = 1_000_000
 REMEMBERED = 800_000
 
 # Unicode white space. A token of the byte-level vocabulary never goes on from another
-# character into white space, so a text can be cut before any run of it.
+# character into white space, so a text can be cut before any run of it. A run of letters ends a
+# token too where a character of ASCII that is no letter follows: words are then remembered
+# without the punctuation after them.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_SEGMENT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_SEGMENT = re.compile(f"[{_SPACE}]*[{_LATIN}]++(?![^\\x00-\\x7f])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _workers: dict[str, "TokenBytes"] = {}
 
 
