@@ -20,9 +20,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,8 @@ from parchment.llm.common import WORD, Shared, text_of
 WINDOW, MARGIN = 13, 3
 #: Rounds to the high level, whose symbols span about 75 words.
 HIGH = 15
+#: Characters of text whose symbols are in memory at a time.
+CHARACTERS = 2_000_000
 #: Words whose names a worker remembers; with more after a text, it forgets them all and goes on.
 REMEMBERED = 500_000
 _WORD = re.compile(WORD.encode())
@@ -66,103 +70,160 @@ def names_of(words: list[bytes]) -> np.ndarray:
     return out
 
 
-def round_of(names: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """One round of pairs over symbols (names, starts): a symbol joins the next if the round puts it left and the next right."""
-    if len(names) < 2:
-        return names, starts
-    side = _mix(names + np.uint64(n) * _M2) >> np.uint64(63)
-    joins = (side[:-1] == 0) & (side[1:] == 1)
-    first = np.append(joins, False)
-    second = np.insert(joins, 0, False)
-    out = names.copy()
-    out[:-1][joins] = _mix(names[:-1][joins] * _M1 + _mix(names[1:][joins] + np.uint64(n)))
-    return out[~second], starts[~second] if first.any() else starts
-
-
-def runs_of(names: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of one symbol become a symbol named by it and the run's length."""
-    if not len(names):
-        return names, starts
-    first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
-    count = np.diff(np.r_[first, len(names)])
-    out = names[first].copy()
-    many = count > 1
-    out[many] = _mix(out[many] * _M2 + count[many].astype(np.uint64))
-    return out, starts[first]
-
-
-def levels(names: np.ndarray, high: int = HIGH) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """Symbols (names, first words) of the low level, two rounds of pairs, and of the high level, with runs."""
-    n = len(names)
-    low = round_of(*round_of(names, np.arange(n), 1), 2)
-    top = low
-    for k in range(3, high + 1):
-        top = round_of(*runs_of(*top, n), k)
-    return low, top
-
-
-def _spans(names: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: np.uint64) -> np.ndarray:
-    """Hashes of the words starts..ends (ends excluded), by prefix sums of powers; equal words, equal hashes."""
-    n = len(names)
-    power = np.cumprod(np.full(n + 1, seed | np.uint64(1), np.uint64))
-    back = np.cumprod(np.full(n + 1, np.uint64(pow(int(seed | np.uint64(1)), -1, 2**64)), np.uint64))
-    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(names + seed) * power[:n])])
-    return _mix((upto[ends] - upto[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _M1)
-
-
-def phrases(names: np.ndarray, low: tuple[np.ndarray, np.ndarray], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(name of the chosen phrase of each window, by its first word; distinct names)."""
-    n = len(names)
-    if n < window:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    _, starts = low
-    ends = np.r_[starts[1:], n]
-    inner = window - 2 * MARGIN
-    value = np.full((5, n), _FAR, np.uint64)  # by first word, one row for each length
-    fits = (starts >= MARGIN) & (ends + MARGIN <= n)
-    s, e = starts[fits], ends[fits]
-    value[(e - s), s] = _spans(names, s - MARGIN, e + MARGIN, _M1)
-    best = np.full(n - window + 1, _FAR, np.uint64)
-    for size in range(1, 5):
-        for at in range(MARGIN, MARGIN + inner - size + 1):
-            np.minimum(best, value[size, at : at + len(best)], out=best)
-    return best, np.unique(best)
-
-
-def windows(names: np.ndarray, at: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit names of the windows that start at the words `at`."""
-    return _spans(names, at, at + window, _M2), _spans(names, at, at + window, _N1)
+@dataclass
+class Symbols:
+    """Symbols of several documents in a row: name, first word, document."""
+
+    names: np.ndarray
+    starts: np.ndarray
+    of: np.ndarray
+
+    def pairs(self, n: int) -> "Symbols":
+        """A symbol joins the next of its document if round n puts it left and the next right."""
+        side = _mix(self.names + np.uint64(n) * _M2) >> np.uint64(63)
+        joins = (side[:-1] == 0) & (side[1:] == 1) & (self.of[:-1] == self.of[1:])
+        out = self.names.copy()
+        out[:-1][joins] = _mix(self.names[:-1][joins] * _M1 + _mix(self.names[1:][joins] + np.uint64(n)))
+        stay = np.ones(len(out), bool)
+        stay[1:] = ~joins
+        return Symbols(out[stay], self.starts[stay], self.of[stay])
+
+    def runs(self) -> "Symbols":
+        """Runs of one symbol become a symbol named by it and the run's length."""
+        new = np.ones(len(self.names), bool)
+        new[1:] = (self.names[1:] != self.names[:-1]) | (self.of[1:] != self.of[:-1])
+        first = np.flatnonzero(new)
+        count = np.diff(np.append(first, len(new)))
+        out = self.names[first]
+        many = count > 1
+        out[many] = _mix(out[many] * _M2 + count[many].astype(np.uint64))
+        return Symbols(out, self.starts[first], self.of[first])
+
+    def ends(self, n: int) -> np.ndarray:
+        return np.append(self.starts, n)[1:]
+
+
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _power(n: int, seed: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of an odd number, and of its inverse modulo 2**64."""
+    base = int(seed) | 1
+    if len(_powers.get(base, ((),))[0]) <= n:
+        _powers[base] = tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, x, np.uint64))]) for x in (base, pow(base, -1, 2**64)))
+    return _powers[base]
+
+
+class Texts:
+    """Words of several documents in a row, their names, and what recompression makes of them."""
+
+    def __init__(self, texts: list[str], window: int = WINDOW):
+        each = [words_of(t) for t in texts]
+        self.window, self.counts = window, np.array([len(w) for w in each], np.int64)
+        self.words = [w for ws in each for w in ws]
+        self.names = names_of(self.words)
+        self.n = len(self.names)
+        self.of = np.repeat(np.arange(len(each)), self.counts)
+        self.last = np.cumsum(self.counts)  # one past each document's last word
+        self.first = self.last - self.counts
+        self._upto: dict[int, np.ndarray] = {}
+
+    def spans(self, starts: np.ndarray, ends: np.ndarray, seed: np.uint64) -> np.ndarray:
+        """Hashes of the words starts..ends (ends excluded), by prefix sums of powers; equal words, equal hashes."""
+        power, back = _power(self.n, seed)
+        if int(seed) not in self._upto:
+            self._upto[int(seed)] = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(self.names + seed) * power[: self.n])])
+        upto = self._upto[int(seed)]
+        return _mix((upto[ends] - upto[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _M1)
+
+    def levels(self) -> tuple[Symbols, Symbols]:
+        """The low level, two rounds of pairs, and the high one, with runs."""
+        low = Symbols(self.names, np.arange(self.n), self.of).pairs(1).pairs(2)
+        top = low
+        for k in range(3, HIGH + 1):
+            top = top.runs().pairs(k)
+        return low, top
+
+    def phrases(self, low: Symbols) -> np.ndarray:
+        """The name of the phrase that the window from each word on chooses; no window, no name."""
+        starts, ends = low.starts, low.ends(self.n)
+        fits = (starts - MARGIN >= self.first[low.of]) & (ends + MARGIN <= self.last[low.of])
+        s, e = starts[fits], ends[fits]
+        names = self.spans(s - MARGIN, e + MARGIN, _M1)
+        inner = self.window - 2 * MARGIN
+        best = np.full(self.n + self.window, _FAR, np.uint64)
+        value = np.empty(self.n + self.window, np.uint64)
+        for size in range(1, 5):
+            own = e - s == size
+            value[:] = _FAR
+            value[s[own]] = names[own]
+            for at in range(MARGIN, MARGIN + inner - size + 1):
+                np.minimum(best[: self.n], value[at : at + self.n], out=best[: self.n])
+        best = best[: self.n]
+        best[np.arange(self.n) + self.window > self.last[self.of]] = _FAR
+        return best
+
+    def passages(self, top: Symbols) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(name, first word, end, document) of high-level symbols of at least a window and of whole documents, by document."""
+        ends = top.ends(self.n)
+        long, whole = ends - top.starts >= self.window, np.flatnonzero(self.counts >= self.window)
+        s, e, of = np.r_[top.starts[long], self.first[whole]], np.r_[ends[long], self.last[whole]], np.r_[top.of[long], whole]
+        order = np.argsort(of, kind="stable")
+        s, e, of = s[order], e[order], of[order]
+        return self.spans(s, e, _N2), s, e, of
+
+    def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit names of the windows that start at the words `at`."""
+        return self.spans(at, at + self.window, _M2), self.spans(at, at + self.window, _N1)
+
+    def judge(self, low: list[np.ndarray], high: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(words covered by passages, first words of the windows still to judge), given each document's shared names."""
+        if not any(map(len, low)) and not any(map(len, high)):
+            return np.zeros(self.n, bool), np.empty(0, np.int64)
+        lows, top = self.levels()
+        name, s, e, of = self.passages(top)
+        hit = among(name, of, high)
+        s, e = s[hit], e[hit]
+        best = self.phrases(lows)
+        open_ = (best != _FAR) & among(best, self.of, low) & ~cover(self.n, s, e - self.window + 1)
+        return cover(self.n, s, e), np.flatnonzero(open_)
+
+
+def among(names: np.ndarray, of: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:
+    """Which names are in the list of their document."""
+    own = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    flat = np.concatenate(lists).view(np.uint64) if len(own) else np.empty(0, np.uint64)
+    tag = lambda n, d: _mix(n + _mix(d.astype(np.uint64) + _M1))
+    return np.isin(tag(names, of), tag(flat, own))
 
 
-def _longs(x: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(x).view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64), pa.int64())
+def cover(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of n words lie in any of the spans."""
+    edge = np.bincount(starts, minlength=n + 1)[: n + 1] - np.bincount(ends, minlength=n + 1)[: n + 1]
+    return np.cumsum(edge)[:n] > 0
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    sizes = np.cumsum([0, *map(len, parts)])
-    flat = np.concatenate([np.asarray(p) for p in parts]) if parts else np.empty(0, np.uint64)
-    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), _longs(flat.astype(np.uint64) if flat.dtype != np.int64 else flat))
+def _longs(x: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
 
 
-def _passages(names: np.ndarray, top: tuple[np.ndarray, np.ndarray], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(name, first word, end) of high-level symbols of at least a window, and of the whole document."""
-    n = len(names)
-    starts, ends = top[1], np.r_[top[1][1:], n].astype(np.int64)
-    long = ends - starts >= window
-    s, e = starts[long], ends[long]
-    if n >= window and not (len(s) == 1 and e[0] - s[0] == n):
-        s, e = np.r_[s, 0], np.r_[e, n]
-    return _spans(names, s, e, _N2), s, e
+def _lists(names: np.ndarray, of: np.ndarray, n: int) -> pa.Array:
+    """Names, which come by document, as a list a document."""
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=n))], pa.int32()), _longs(names))
 
 
-def cover(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Which of n words lie in any of the spans."""
-    edge = np.bincount(starts, minlength=n + 1)[: n + 1] - np.bincount(ends, minlength=n + 1)[: n + 1]
-    return np.cumsum(edge)[:n] > 0
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about CHARACTERS characters of text, or of one longer text."""
+    for batch in batches:
+        sizes = pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // CHARACTERS
+        edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
+        for s, e in zip(edges[:-1], edges[1:], strict=True):
+            yield batch.slice(int(s), int(e - s))
 
 
-def _sha(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    return [np.empty(0, np.int64) if x.as_py() is None else x.values.to_numpy() for x in column]
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -181,15 +242,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(big)).alias("key"), text_of(text_col).alias("text"))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low_names, high_names = [], []
+        for batch in _slices(batches):
             with np.errstate(over="ignore"):
-                for text in batch.column(1):
-                    names = names_of(words_of(text.as_py()))
-                    low, top = levels(names)
-                    low_names.append(phrases(names, low, window)[1])
-                    high_names.append(np.unique(_passages(names, top, window)[0]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(low_names), _lists(high_names)], ["key", "low", "high"])
+                t = Texts(batch.column("text").to_pylist())
+                low, top = t.levels()
+                best = t.phrases(low)
+                new = best != _FAR
+                new[1:] &= (best[1:] != best[:-1]) | (t.of[1:] != t.of[:-1])
+                high, _, _, of = t.passages(top)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), _lists(best[new], t.of[new], len(batch)), _lists(high, of, len(batch))], ["key", "low", "high"])
 
     named = shared.save(rows.select("key", "text").mapInArrow(name, "key long, low array<long>, high array<long>"), "named")
     listed = named.select("key", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("low").alias("names")), F.struct(F.lit(1).alias("kind"), F.col("high").alias("names")))).alias("s"))
@@ -203,34 +264,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = shared.save(found.withColumnRenamed("key", "f_key"), "found")
     touched = rows.join(found, F.col("key") == F.col("f_key"), "left").drop("f_key")
 
-    def state(text: str, low: np.ndarray, high: np.ndarray):
-        """(words, names, which words are covered by passages, first words of the windows still to judge)"""
-        words = words_of(text)
-        names = names_of(words)
-        n = len(names)
-        if not len(low) and not len(high):
-            return words, names, np.zeros(n, bool), np.empty(0, np.int64)
-        lows, top = levels(names)
-        name, s, e = _passages(names, top, window)
-        hit = np.isin(name.view(np.int64), high)
-        covered = cover(n, s[hit], e[hit])
-        best, _ = phrases(names, lows, window)
-        open_ = np.isin(best.view(np.int64), low)
-        inside = np.zeros(len(best), bool)
-        if hit.any() and len(best):
-            inside = cover(len(best), s[hit], np.minimum(e[hit] - window + 1, len(best)))
-        return words, names, covered, np.flatnonzero(open_ & ~inside)
-
     def open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             with np.errstate(over="ignore"):
-                for key, text, low, high in zip(*(batch.column(c) for c in ("key", "text", "low", "high")), strict=True):
-                    if low.as_py() is None:
-                        continue
-                    _, names, _, at = state(text.as_py(), low.values.to_numpy(), high.values.to_numpy())
-                    if len(at):
-                        a, b = windows(names, at, window)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), key.as_py()), pa.int64()), _longs(a), _longs(b)], ["key", "a", "b"])
+                t = Texts(batch.column("text").to_pylist())
+                _, at = t.judge(_arrays(batch.column("low")), _arrays(batch.column("high")))
+                a, b = t.windows(at)
+            keys = batch.column("key").to_numpy(zero_copy_only=False)[t.of[at]]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _longs(a), _longs(b)], ["key", "a", "b"])
 
     judged = shared.save(touched.where("low IS NOT NULL").select("key", "text", "low", "high").mapInArrow(open_windows, "key long, a long, b long").distinct(), "windows")
     least = judged.groupBy("a", "b").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").drop("most")
@@ -243,19 +284,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = f"id {kind}, n_words long, n_removed long, kept_sha256 string, kept string"
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.empty(0, np.int64)
-        for batch in batches:
-            total, gone, sha, kept = [], [], [], []
+        for batch in _slices(batches):
             with np.errstate(over="ignore"):
-                for text, low, high, again in zip(*(batch.column(c) for c in ("text", "low", "high", "again")), strict=True):
-                    sets = [none if x.as_py() is None else x.values.to_numpy() for x in (low, high)]
-                    words, names, covered, at = state(text.as_py(), *sets)
-                    if again.as_py() is not None and len(at):
-                        a, _ = windows(names, at, window)
-                        at = at[np.isin(a.view(np.int64), again.values.to_numpy())]
-                        covered |= cover(len(words), at, at + window)
-                    left = [w for w, c in zip(words, covered.tolist(), strict=True) if not c] if covered.any() else words
-                    total.append(len(words)), gone.append(len(words) - len(left)), sha.append(_sha(left)), kept.append(b" ".join(left))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha), pa.array(kept, pa.binary()).cast(pa.string())], [x.split()[0] for x in schema.split(", ")])
+                t = Texts(batch.column("text").to_pylist())
+                covered, at = t.judge(_arrays(batch.column("low")), _arrays(batch.column("high")))
+                at = at[among(t.windows(at)[0], t.of[at], _arrays(batch.column("again")))]
+                covered |= cover(t.n, at, at + t.window)
+            gone = np.bincount(t.of[covered], minlength=len(batch))
+            kept = []
+            for s, e, g in zip(t.first.tolist(), t.last.tolist(), gone.tolist(), strict=True):
+                words = t.words[s:e]
+                kept.append(b" ".join([w for w, c in zip(words, covered[s:e].tolist(), strict=True) if not c] if g else words))
+            sha = [hashlib.sha256(k).hexdigest() for k in kept]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(t.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary()).cast(pa.string())], [x.split()[0] for x in schema.split(", ")])
 
     return last.select("id", "text", "low", "high", "again").mapInArrow(remove, schema)

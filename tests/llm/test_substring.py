@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from parchment.llm import substring as M
-from parchment.llm.substring import levels, names_of, phrases, remove_repeats
+from parchment.llm.substring import Texts, remove_repeats
 
 W = 13
 
@@ -69,21 +69,41 @@ def test_odd(make, odd):
 @pytest.mark.parametrize("seed", range(20))
 def test_equal_windows_choose_equal_phrases(seed):
     rng = random.Random(seed)
-    prose = lambda n: [rng.choice("abcd").encode() for _ in range(n)]
+    prose = lambda n: [rng.choice("abcd") for _ in range(n)]
     same = prose(W)
+    before = [prose(rng.randint(0, 9)) for _ in range(6)]
     with np.errstate(over="ignore"):
-        chosen = []
-        for _ in range(4):
-            left = prose(rng.randint(0, 9))
-            names = names_of(left + same + prose(rng.randint(0, 9)))
-            best = phrases(names, levels(names)[0])[0]
-            chosen.append(int(best[len(left)]))
-    assert len(set(chosen)) == 1 and chosen[0] != int(M._FAR)
+        t = Texts([" ".join(left + same + prose(rng.randint(0, 9))) for left in before])
+        best = t.phrases(t.levels()[0])
+    chosen = {int(best[f + len(left)]) for f, left in zip(t.first, before, strict=True)}
+    assert len(chosen) == 1 and int(M._FAR) not in chosen
+
+
+def test_documents_do_not_touch():
+    """The same symbols, alone or among others."""
+    texts = ["a b c d e f g h i j k l m n o p", "", "p o n m l k", "a a a a a a a a a a a a a a b"]
+    with np.errstate(over="ignore"):
+        t = Texts(texts)
+        best, (name, s, e, of) = t.phrases(t.levels()[0]), t.passages(t.levels()[1])
+        for i, x in enumerate(texts):
+            u = Texts([x])
+            assert np.array_equal(u.phrases(u.levels()[0]), best[t.of == i])
+            own = u.passages(u.levels()[1])
+            assert np.array_equal(own[0], name[of == i]) and np.array_equal(own[1], s[of == i] - t.first[i])
 
 
 def test_levels_of_symbols():
     with np.errstate(over="ignore"):
-        names = names_of([str(i).encode() for i in range(20_000)])
-        (low, s2), (top, s) = levels(names)
-    assert np.diff(np.r_[s2, len(names)]).max() <= 4 and len(low) == len(s2)
-    assert 20 < len(names) / len(top) < 300 and s[0] == 0
+        t = Texts([" ".join(map(str, range(20_000)))])
+        low, top = t.levels()
+    assert np.diff(np.r_[low.starts, t.n]).max() <= 4
+    assert 20 < t.n / len(top.names) < 300 and top.starts[0] == 0
+
+
+def test_slices(monkeypatch, make, odd):
+    import pyarrow as pa
+
+    monkeypatch.setattr(M, "CHARACTERS", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(["abc", "x" * 50, "", "de", "f" * 9])], ["text"])
+    parts = list(M._slices(iter([batch, batch.slice(0, 0)])))
+    assert pa.concat_arrays([p.column(0) for p in parts]).equals(batch.column(0)) and len(parts) > 1
