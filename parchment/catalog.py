@@ -148,9 +148,8 @@ def pages_by_position(spark, sf_dir):
 
 @query()
 def sequence_similarity(spark, sf_dir):
-    """Similarity and word diff of the first 300 characters: the matcher takes time in the square of a text."""
-    p = S.text_pairs(spark, sf_dir).withColumns({c: F.left(c, F.lit(300)) for c in ("source_text", "ocr_text")})
-    return compare.compare_text_layer(p).select("doc_id", "similarity", "status", "text_diff_html")
+    """Similarity and word diff of whole texts."""
+    return compare.compare_text_layer(S.text_pairs(spark, sf_dir)).select("doc_id", "similarity", "status", "text_diff_html")
 
 
 @query()
