@@ -26,6 +26,8 @@ from parchment.llm.common import Shared, text_of
 #: Open bins of a packer, and the pieces a packer is given at most, about.
 OPEN_BINS = 1024
 PIECES = 1_000_000
+#: First number of a packer's sequences that one piece fills; all others are smaller.
+FULL = 1 << 39
 #: Segments whose ids a worker remembers; with more after a text, it forgets them all and goes on.
 REMEMBERED = 800_000
 
@@ -122,6 +124,19 @@ def best_fit(lengths: Iterator[int], size: int, open_bins: int = OPEN_BINS) -> I
             is_open -= 1
 
 
+def placed(lengths: Iterator[int], size: int, open_bins: int = OPEN_BINS) -> Iterator[tuple[int, int]]:
+    """As best_fit(), but a piece of the full size has a bin of its own, numbered from FULL on, and closes no other."""
+    full, feed = FULL, []
+    packed = best_fit(iter(feed.pop, None), size, open_bins)
+    for n in lengths:
+        if n == size:
+            yield full, 0
+            full += 1
+        else:  # lengths are handed over one by one
+            feed.append(n)
+            yield next(packed)
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer: str, size: int, id_col: str = "doc_id", text_col: str = "text", end: int = 0) -> DataFrame:
     """(id, piece, start, length, ids_crc32): a document's ids, then the end id, cut into pieces of at most size."""
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
@@ -163,7 +178,7 @@ def pack(pieces: DataFrame, shared: Shared, size: int, open_bins: int = OPEN_BIN
             for p, n in zip(packer, batch.column("length").to_pylist(), strict=True):
                 if p != of:  # lengths are handed over one by one
                     feed, of = [], p
-                    packed = best_fit(iter(feed.pop, None), size, open_bins)
+                    packed = placed(iter(feed.pop, None), size, open_bins)
                 feed.append(n)
                 b, o = next(packed)
                 sequence.append((p << 40) + b)

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from parchment.llm.packing import TokenBytes, best_fit, cut, pack_documents
+from parchment.llm.packing import TokenBytes, best_fit, cut, pack_documents, placed
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -61,3 +61,11 @@ def test_documents(make, odd):
 
 def test_empty(make):
     assert pack_documents(make([]), PATH).count() == 0
+
+
+def test_full_pieces_close_no_bin():
+    lengths = [30, 50, 20, 50, 40, 10]
+    got = list(placed(iter(lengths), 50, 1))
+    (a, b, c, d, e, f) = got
+    assert a[0] == c[0] and c[1] == 30 and e[0] == f[0] and f[1] == 40 and b[1] == d[1] == 0
+    assert len({x for x, _ in got}) == 4 and len({x for x, _ in best_fit(iter(lengths), 50, 1)}) > 4
