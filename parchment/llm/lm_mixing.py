@@ -279,14 +279,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     base = F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))
     values = ["token", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), "lp"]
     # The number of frequent words and their length are bounded, so they may be sent to all tasks.
-    frequent = words.where(F.octet_length("token") <= LENGTH).orderBy(F.col("n").desc(), "token").limit(FREQUENT).select(*values)
+    frequent = words.where(F.octet_length("token") <= LENGTH).orderBy((F.col("token") == "").desc(), F.col("n").desc(), "token").limit(FREQUENT).select(*values)
     frequent = shared.save(frequent, "frequent")
     sums = [F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("lp").alias("lp"), F.sum(F.octet_length("token") + 1).alias("bytes")]
     near = rows.join(F.broadcast(frequent), "token").groupBy("id", "h").agg(F.count("*").alias("n"), F.count_if(F.col("token") == "").alias("m"), *sums)
     rare = rows.join(F.broadcast(frequent.select("token")), "token", "left_anti").select("id", "h", "token")
     rare = rare.join(words.select(*values), "token").groupBy("id", "h").agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("m"), *sums)
     found = near.unionByName(rare).groupBy("id", "h").agg(*[F.sum(x).alias(x) for x in ("n", "m", "known", "base", "lp", "bytes")])
-    # m rows share id and text: each has one end. The end is always among the frequent words.
+    # m rows share id and text: each has one end. The end comes first among the frequent words, however rare.
     found = found.withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
     held_out = F.coalesce(crc_mod("id", 7) == 2, F.lit(False))
     each = lambda x: F.col(x) / F.col("m")

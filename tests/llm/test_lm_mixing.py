@@ -94,3 +94,9 @@ def test_empty(make):
     only_held_out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = score(make([(only_held_out, "a b")])).first()
     assert r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0.0 and r.score < 0
+
+
+def test_end_is_frequent_however_rare(make, monkeypatch):
+    monkeypatch.setattr(M, "FREQUENT", 2)
+    r = score(make([(1, "a a a b b b c c c", "en", "x")])).collect()
+    assert len(r) == 1 and r[0].n_tokens == 10 and r[0].score < 0 and r[0].bits_per_byte > 0
