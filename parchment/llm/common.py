@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,21 +35,34 @@ def crc_mod(col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(n))
 
 
+def without(docs: DataFrame, *names: str) -> DataFrame:
+    """docs less the columns of these names, which an operator is about to add."""
+    taken = {n.lower() for n in names}
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken])
+
+
 class Shared:
     """Tables under one new folder of the shared directory in spark.checkpoint.dir.
 
     They take the place of cached or locally checkpointed data: any executor can
-    read them after another one is lost. The folder goes when Python ends.
+    read them after another one is lost. The folder goes with scratch(), or else when Python ends.
+    Where no directory is set, one is made on this machine if Spark runs on it alone; on a cluster that is an error.
     """
 
+    _open: list[list[Shared]] = []
+
     def __init__(self, spark: SparkSession, what: str):
         self.spark = spark
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             base = f"file://{tempfile.gettempdir()}/parchment-checkpoints"
             spark.conf.set("spark.checkpoint.dir", base)
         self.root = f"{base.rstrip('/')}/parchment/{what}-{uuid.uuid4().hex}"
         atexit.register(self.clear)
+        for group in self._open:
+            group.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -69,6 +84,20 @@ class Shared:
             pass
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Removes at its end the folders that operators opened within; results that read them must be written by then."""
+    opened: list[Shared] = []
+    Shared._open.append(opened)
+    try:
+        yield
+    finally:
+        Shared._open.pop()
+        for shared in opened:
+            shared.clear()
+            atexit.unregister(shared.clear)
+
+
 def sampled(rows: DataFrame, n: int, id_col: str = "id") -> DataFrame:
     """About n rows, those whose ids have the least hashes; all if there are no more. No row moves.
 

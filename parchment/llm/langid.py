@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import sampled
+from parchment.llm.common import sampled, without
 
 #: What is given to a text that is null or has no letter.
 UNKNOWN = "und"
@@ -151,8 +151,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang: str = "
     """docs with two further columns: the likeliest language, and its share between 0 and 1.
 
     A text that is null or has no letter gets "und" and 0, as does every text if nothing was learned. Ties go to the first
-    language by name. Only the text is read; all other columns pass as they are.
+    language by name. Repeated rows are predicted alike. Only the text is read; all other columns pass as they are, but those
+    that have a new one's name already are replaced. An empty table gives an empty result.
     """
+    docs = without(docs, lang, score)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{lang}` string, `{score}` double"])

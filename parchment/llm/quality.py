@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import sampled, text_of
+from parchment.llm.common import sampled, text_of, without
 
 #: Slots of hashed word shapes.
 SHAPES = 256
@@ -37,11 +37,11 @@ _workers: dict[str, "_Shapes"] = {}
 
 
 def shape(word: str) -> str:
-    """Letters become A or a, digits 0; runs of a character become one, with a mark for runs of over three."""
+    """Letters become A or a, digits 0, and runs of a kind one; a character that itself stands more than three times in a row has a mark after it."""
+    word = re.sub(r"(.)\1{3,}", r"\1+", word)
     for pattern, by in _RUNS:
         word = pattern.sub(by, word)
-    out = re.sub(r"(.)\1{3,}", r"\1+", word)
-    return re.sub(r"(.)\1+", r"\1", out)[:32]
+    return re.sub(r"(.)\1+", r"\1", word)[:32]
 
 
 class _Shapes(dict):
@@ -212,8 +212,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", name: str = "score") -> DataFrame:
     """docs with a further column between 0 and 1, higher where good is likelier; all other columns pass as they are.
 
-    Null texts are empty; empty texts are scored like any other. Without a model, every score is 0.5.
+    Null texts are empty; empty texts are scored like any other. Repeated rows score alike. Without a model, every score is
+    0.5. A column that has the new one's name already is replaced. An empty table gives an empty result.
     """
+    docs = without(docs, name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{name}` double"])

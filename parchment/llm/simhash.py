@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parchment.llm.common import WORD, Shared, text_of
+from parchment.llm.common import WORD, Shared, text_of, without
 from parchment.llm.graph import connected_components
 
 _WORD = re.compile(WORD.encode())
@@ -197,7 +197,11 @@ def _compare(batches: Iterator[pa.RecordBatch], r: int, most: int) -> Iterator[p
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3, seed: int = 42, name: str = "fp") -> DataFrame:
-    """docs with a further long column: the fingerprint's 64 bits. All other columns pass as they are."""
+    """docs with a further long column: the fingerprint's 64 bits. Null texts are empty, and repeated rows have equal fingerprints.
+
+    All other columns pass as they are; one that has the new one's name already is replaced. An empty table gives an empty result.
+    """
+    docs = without(docs, name)
     at = docs.columns.index(text_col)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{name}` bigint"])
 

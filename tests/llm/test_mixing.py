@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -64,3 +65,32 @@ def test_repeat(make, odd):
 
 def test_empty(make):
     assert mix(make([])).count() == 0 and repeat(make([])).count() == 0
+
+
+@pytest.mark.parametrize("rows", [[(1, "", "en", "a"), (2, "a b", "en", "a")], [(1, None, "en", None), (2, "", "en", None)], [(1, "", "en", "a"), (2, None, "en", "b"), (3, "x y z", "en", None)]])
+def test_documents_without_words(make, rows):
+    got = mix(make(rows)).collect()
+    assert len(got) == len(rows) and all(r.copies == r.taken == r.rate == 0 for r in got if not r.size)
+    total = sum(r.size for r in got)
+    assert sum(r.taken for r in got) <= 3 * total and repeat(make(rows)).where("coalesce(trim(text), '') = ''").count() == 0
+
+
+def test_rates_solve_the_dual(make):
+    """Each source's exact rates, tilted by one number a source, meet its target."""
+    rows = [(i, "w " * (i % 41 + i % 7 * 30 + 1), "en", f"s{i % 7}") for i in range(700)]
+    got = mix(make(rows)).collect()
+    for s in {r.source for r in got}:
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.rate * r.size for r in own) - own[0].target) < 1e-6 * own[0].target
+        lams = [math.log(r.rate) / r.size for r in own if 0 < r.rate < 3]
+        assert not lams or max(lams) - min(lams) < 1e-9
+
+
+def test_many_sources(make):
+    rows = [(i, "w " * (i * 7919 % 13), "en", None if i % 50 == 49 else f"host{i % 50 * 31 % 997}") for i in range(500)]
+    got = mix(make(rows)).collect()
+    sizes = Counter()
+    for r in got:
+        sizes[r.source] += r.size
+    want = shares(sizes)
+    assert all(abs(r.target - want[r.source]) <= 1e-6 * max(1, want[r.source]) for r in got)
