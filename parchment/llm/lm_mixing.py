@@ -1,64 +1,275 @@
 """Language-model scores by online logistic mixing of hashed-context bit predictors.
 
-A text is coded as its lower-cased words, each with a closing byte, and one end. Each
-bit of a byte is predicted by several contexts: the last one to four bytes of the word, and all
-of the word so far. Each predictor looks up, in a hashed table, how often the bit was 0
-and 1 after its context in training text. A gate, how often the longest contexts were seen,
-picks a set of weights by which the predictions are combined on the logistic scale; the
-weights are learned online, example after example. A last stage refines the probability
-adaptively by the part of the byte that is known.
-
-All contexts lie within a word, so a word's bits cost the same wherever it stands: words are
-counted over all documents first, and training and scoring work on distinct words with their counts.
-The tables have a fixed size; word counts are exact, whatever their number.
+A text is coded as its lower-cased words in order, and one end. What training text holds of the last two words
+(order 2), the last word (order 1) and the word alone (order 0) decides how a word is coded: for each order in turn a bit says
+whether the context has this word as a successor, and after a yes the word's share of the context's count
+names it. A word that no training text has is spelled, each bit of its bytes coded.
+
+All bits are coded in one way. Several predictors look up, each by a hash of its own context, how
+often the bit was 0 and 1 before. A gate picks a set of weights by which the predictions are combined on the logistic scale;
+the weights are learned online, in the order of the text. A last stage refines the
+probability adaptively. The bits of a text add up to its total, and over its bytes to bits per byte.
+
+A document that was learned from is left out of all counts when it is scored: what it says itself tells nothing.
+
+Counts of words, pairs and triples grow with the input and stay spread over the cluster. Texts are handled in chunks; a chunk asks for the
+counts of its distinct contexts, in blobs of sorted hashes, one for each slice of the hashes, and gets them back in that order. A key that is frequent
+everywhere is asked for once a chunk. The hashes of pairs and triples widen with the input, so that one in a
+thousand shares its place at any size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+import struct
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import WORD, Shared, ascii_lower, crc_mod, text_of
-
-#: Predictors: orders 1 to 4, and the whole word so far. Each has 2**bits slots, 7.4 million in all.
-SLOT_BITS = (16, 18, 20, 21, 22)
-K = len(SLOT_BITS)
-FIRST = np.cumsum([0, *(1 << b for b in SLOT_BITS)])
-SLOTS = int(FIRST[-1])
-#: Tables travel in blocks of so many slots; a task that counts has about so many words.
-BLOCK, WORDS = 1 << 12, 1_000_000
-GATES, BINS = 64, 24
-#: Bytes whose bits are in memory at a time.
-STEP = 1 << 16
-#: Words sent to all tasks with their scores, the most frequent of at most LENGTH bytes: a bound of about 8 MB.
-FREQUENT, LENGTH = 1 << 16, 64
+from parchment.llm.common import WORD, Shared, crc_mod, text_of
+
+#: Spelling predictors: orders 1 to 4, and the word so far. Each has 2**bits slots; they hold how words are built, not which there are.
+SPELL_BITS = (16, 18, 20, 21, 22)
+#: Predictors of the bits that tell orders, of 2**10 slots each.
+ORDER_BITS = (10, 10, 10, 10, 10)
+GATES, BINS, CELLS = 64, 24, 256
+#: Slots of one row of counts on its way; bytes whose bits are in memory at a time; bits of one online step.
+BLOCK, STEP, ONLINE = 1 << 16, 1 << 15, 1 << 14
+#: Tokens whose order bits are in memory at a time.
+TOKENS = 1 << 17
+#: Characters of a chunk, about, and bytes of text whose hashes make a slice.
+CHARACTERS, SLICE = 4_000_000, 8_000_000
+#: Words whose hashes a worker remembers; with more after a chunk, it forgets them all and goes on.
+REMEMBERED = 500_000
+_WORD = re.compile(WORD.encode())
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_START = np.uint64(0x243F6A8885A308D3)
+_workers: dict[str, "_Names"] = {}
+
+
+# ---- bits: counts, mixing, refinement
 
 
 @dataclass
 class Model:
+    bits: tuple[int, ...]  # 2**bits slots of each predictor
     ones: np.ndarray  # times the bit was 1, by slot
     seen: np.ndarray  # times at all, by slot
-    weights: np.ndarray  # (GATES, K + 1)
-    refined: np.ndarray  # (256, BINS)
+    weights: np.ndarray  # (GATES, predictors + 1)
+    refined: np.ndarray  # (CELLS, BINS)
+
+    @classmethod
+    def blank(cls, bits: tuple[int, ...], ones: np.ndarray, seen: np.ndarray) -> Model:
+        weights = np.full((GATES, len(bits) + 1), 0.3)
+        weights[:, -1] = 0.0
+        return cls(bits, ones, seen, weights, _blank())
+
+
+@dataclass
+class Bits:
+    """Some bits in coding order: whose they are, their values, refinement cells, slots (predictors, bits) and gates."""
+
+    owner: np.ndarray
+    bit: np.ndarray
+    cell: np.ndarray
+    slots: np.ndarray
+    gate: np.ndarray | None = None  # None: how often the last two predictors have been asked
+
+
+def _blank() -> np.ndarray:
+    return np.repeat(_squash((np.arange(BINS) + 0.5) * (24 / BINS) - 12)[None], CELLS, 0)
+
+
+def _squash(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _bin(z: np.ndarray) -> np.ndarray:
+    return np.clip(((z + 12) * (BINS / 24)).astype(np.int64), 0, BINS - 1)
+
+
+def _inputs(model: Model, b: Bits, leave_out: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(predictions on the logistic scale and a constant, gates). A bit that is learned from is left out of its own counts."""
+    n, one = model.seen[b.slots].astype(np.float64), model.ones[b.slots].astype(np.float64)
+    if leave_out:
+        n = np.maximum(n - 1, 0)
+        one = np.minimum(np.maximum(one - b.bit, 0), n)
+    x = np.ones((len(b.slots) + 1, b.slots.shape[1]))
+    x[:-1] = np.where(n > 0, np.log((one + 0.02) / (n - one + 0.02)), 0.0)
+    if b.gate is not None:
+        return x, b.gate
+    level = np.minimum(7, np.log2(n[-2:] + 1)).astype(np.int64)
+    return x, level[1] * 8 + level[0]
+
+
+def log10_probability(model: Model, steps: Iterator[Bits], owners: int) -> np.ndarray:
+    """log10 of the probability of each owner's bits."""
+    out = np.zeros(owners)
+    for b in steps:
+        x, gate = _inputs(model, b, False)
+        z = (model.weights[gate] * x.T).sum(1)
+        p = np.clip((_squash(z) + model.refined[b.cell, _bin(z)]) / 2, 1e-9, 1 - 1e-9)
+        out += np.bincount(b.owner, np.log10(np.where(b.bit == 1, p, 1 - p)), owners)
+    return out
+
+
+def _count(bits: tuple[int, ...], steps: Iterator[Bits]) -> tuple[np.ndarray, np.ndarray]:
+    """(ones, all) of the bits by slot."""
+    slots = sum(1 << b for b in bits)
+    ones, seen = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
+    for b in steps:
+        for k in range(len(bits)):
+            np.add.at(seen, b.slots[k], 1)
+            np.add.at(ones, b.slots[k], b.bit)
+    return ones, seen
+
 
+def _learn(model: Model, steps: Iterator[Bits]) -> tuple[np.ndarray, np.ndarray]:
+    """Online steps in the order of the bits: (weights times bits then hits, bits then times), to be added over tasks.
+
+    Each short run of bits makes one second-order step, with the curvature that has gathered so far.
+    """
+    k1 = len(model.bits) + 1
+    w, total = model.weights.copy(), 0
+    hits, times = np.zeros(CELLS * BINS), np.zeros(CELLS * BINS)
+    curve = np.repeat(np.eye(k1)[None] * 200.0, GATES, 0)
+    for b in steps:
+        x, gate = _inputs(model, b, True)
+        for s in range(0, len(b.bit), ONLINE):
+            part = slice(s, s + ONLINE)
+            xs, gs, bit = x[:, part], gate[part], b.bit[part]
+            z = (w[gs] * xs.T).sum(1)
+            p = _squash(z)
+            err, bend = bit - p, np.maximum(p * (1 - p), 1e-4)
+            slope = np.stack([np.bincount(gs, err * xs[i], GATES) for i in range(k1)], 1)
+            for i in range(k1):
+                for j in range(i + 1):
+                    add = np.bincount(gs, bend * xs[i] * xs[j], GATES)
+                    curve[:, i, j] += add
+                    if i != j:
+                        curve[:, j, i] += add
+            w += np.linalg.solve(curve, slope[:, :, None])[:, :, 0]
+            cell = b.cell[part] * BINS + _bin(z)
+            hits += np.bincount(cell, bit, CELLS * BINS)
+            times += np.bincount(cell, minlength=CELLS * BINS)
+        total += len(b.bit)
+    return np.concatenate([w.ravel() * total, hits]), np.concatenate([np.full(w.size, float(total)), times])
+
+
+def _blocks(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(block, data) of two arrays of one kind: places that are not zero, of BLOCK each, and their values."""
+    kind = a.dtype.str[1].encode()
+    for s in range(0, len(a), BLOCK):
+        at = np.flatnonzero(a[s : s + BLOCK] != 0) if kind == b"f" else np.flatnonzero(b[s : s + BLOCK])
+        if kind == b"f":
+            at = np.union1d(at, np.flatnonzero(b[s : s + BLOCK] != 0))
+        if len(at):
+            values = [x[s + at] for x in (a, b)]
+            data = kind + (packed(values[0]) + packed(values[1]) if kind == b"i" else _zipped(np.concatenate(values).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([s // BLOCK], pa.int32()), pa.array([_framed(packed(np.diff(at, prepend=0))) + data], pa.binary())], ["block", "data"])
+
+
+def _block(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, a, b) of a row of _blocks()."""
+    at, rest = _unframed(data)
+    at = np.cumsum(unpacked(at)).astype(np.int64)
+    if rest[:1] == b"i":
+        n = packed_size(rest[1:])
+        return at, unpacked(rest[1 : 1 + n]).astype(np.int64), unpacked(rest[1 + n :]).astype(np.int64)
+    both = np.frombuffer(_unzipped(rest[1:]), np.float64)
+    return at, both[: len(at)], both[len(at) :]
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the data of each block; rows come sorted by block."""
+    held: list[tuple] = []
+    at = None
+
+    def row() -> Iterator[pa.RecordBatch]:
+        kind = held[0][1].dtype
+        a, b = np.zeros(BLOCK, kind), np.zeros(BLOCK, kind)
+        for places, x, y in held:
+            a[places] += x
+            b[places] += y
+        for out in _blocks(a, b):
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), out.column(1)], ["block", "data"])
+
+    for batch in batches:
+        for block, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if block != at and held:
+                yield from row()
+                held = []
+            at = block
+            held.append(_block(data.as_py()))
+            if len(held) > 16:  # memory stays that of few rows, however many tasks send
+                kind = held[0][1].dtype
+                a, b = np.zeros(BLOCK, kind), np.zeros(BLOCK, kind)
+                for places, x, y in held:
+                    a[places] += x
+                    b[places] += y
+                held = [(np.arange(BLOCK), a, b)]
+    if held:
+        yield from row()
+
+
+def _gathered(rows: DataFrame, n: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The two arrays of n, added over all tasks: they have a fixed size, and so has what reaches the driver."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = rows.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_summed, "block int, data binary").toArrow()
+    a, b = np.zeros(n, kind), np.zeros(n, kind)
+    for block, data in zip(found.column("block").to_pylist(), found.column("data"), strict=True):
+        places, x, y = _block(data.as_py())
+        a[block * BLOCK + places], b[block * BLOCK + places] = x, y
+    return a, b
+
+
+def trained(rows: DataFrame, bits: tuple[int, ...], steps: Callable[[Iterator[pa.RecordBatch]], Iterator[Bits]]) -> Model:
+    """Counts over all rows first, then weights and refinement over all of them; steps makes bits of a task's rows."""
+    spark, schema = rows.sparkSession, "block int, data binary"
+    ones, seen = _gathered(rows.mapInArrow(lambda b: _blocks(*_count(bits, steps(b))), schema), sum(1 << b for b in bits), np.int64)
+    model = Model.blank(bits, np.minimum(ones, 2**32 - 1).astype(np.uint32), np.minimum(seen, 2**32 - 1).astype(np.uint32))
+    shared = spark.sparkContext.broadcast(model)
+    n = model.weights.size
+    a, b = _gathered(rows.mapInArrow(lambda x: _blocks(*_learn(shared.value, steps(x))), schema), n + CELLS * BINS, np.float64)
+    shared.unpersist()
+    if b[:n].any():
+        model.weights = (a[:n] / b[:n]).reshape(model.weights.shape)
+    hits, times = a[n:].reshape(CELLS, BINS), b[n:].reshape(CELLS, BINS)
+    model.refined = (hits + 50 * _blank()) / (times + 50)
+    return model
 
-def _flat(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, token number, place in the token): words close with a space; the empty token is a line feed."""
+
+# ---- spelling
+
+
+def spelled(tokens: list[bytes]) -> Iterator[Bits]:
+    """The bits of words, each with a closing space, highest first; the end is a line feed. Contexts lie within a word."""
     coded = [t + b" " if t else b"\n" for t in tokens]
     sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-    starts = np.cumsum(sizes) - sizes
-    return np.frombuffer(b"".join(coded), np.uint8), np.repeat(np.arange(len(coded)), sizes), np.arange(sizes.sum()) - np.repeat(starts, sizes)
+    raw, token = np.frombuffer(b"".join(coded), np.uint8), np.repeat(np.arange(len(coded)), sizes)
+    place = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    contexts = _contexts(raw, place)
+    first, shift = np.cumsum([0, *(1 << b for b in SPELL_BITS)]), np.arange(8)
+    for s in range(0, len(raw), STEP):
+        byte = raw[s : s + STEP].astype(np.int64)[:, None]
+        known = (1 << shift) | (byte >> (8 - shift))
+        with np.errstate(over="ignore"):
+            h = (contexts[:, s : s + STEP, None] + known.astype(np.uint64)[None] * _B) * _A
+            h = (h ^ (h >> np.uint64(29))) * _B
+        slots = np.stack([(h[k] >> np.uint64(64 - b)).astype(np.int64).ravel() + first[k] for k, b in enumerate(SPELL_BITS)])
+        yield Bits(np.repeat(token[s : s + STEP], 8), ((byte >> (7 - shift)) & 1).ravel(), known.ravel(), slots)
 
 
 def _contexts(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """(K, bytes) hashes of the contexts before each byte."""
-    out = np.zeros((K, len(raw)), np.uint64)
+    """(predictors, bytes) hashes of the contexts before each byte."""
+    out = np.zeros((len(SPELL_BITS), len(raw)), np.uint64)
     byte, near = raw.astype(np.uint64) + np.uint64(1), np.zeros(len(raw), np.uint64)
     with np.errstate(over="ignore"):
         for n in range(1, 5):
@@ -74,184 +285,274 @@ def _contexts(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bits(raw: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all bits of some bytes, highest first: (bit, known part of the byte, slots (K, bits))."""
-    shift = np.arange(8)
-    byte = raw.astype(np.int64)[:, None]
-    bit = (byte >> (7 - shift)) & 1
-    known = (1 << shift) | (byte >> (8 - shift))
-    with np.errstate(over="ignore"):
-        h = (contexts[:, :, None] + known.astype(np.uint64)[None] * _B) * _A
-        h = (h ^ (h >> np.uint64(29))) * _B
-    slots = [(h[k] >> np.uint64(64 - b)).astype(np.int64).ravel() + FIRST[k] for k, b in enumerate(SLOT_BITS)]
-    return bit.ravel(), known.ravel(), np.stack(slots)
+def _spelling_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[Bits]:
+    for batch in batches:
+        for data in batch.column(0):
+            words = _unzipped(data.as_py()).split(b" ")
+            for s in range(0, len(words), STEP):
+                yield from spelled(words[s : s + STEP])
+
+
+# ---- orders: which context names a word
+
+
+def levels(n: np.ndarray) -> np.ndarray:
+    """0 to 7 for how often a context was seen: never, 1, 2, to 4, 8, 32, 256, more."""
+    return np.searchsorted(np.array([1, 2, 3, 5, 9, 33, 257]), n, side="right")
+
+
+def order_bits(states: list[np.ndarray]) -> Bits:
+    """The bits that tell each token's order, text after text. A state is the order (0: spelled, 1: known word, 2 and 3: one and two words
+    of context), plus 4 times the pair's level, plus 32 times the last word's level."""
+    state = np.concatenate(states).astype(np.int64) if states else np.empty(0, np.int64)
+    sizes = np.array([len(s) for s in states], np.int64)
+    owner = np.repeat(np.arange(len(states)), sizes)
+    start = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    order, two, one = state & 3, (state >> 2) & 7, state >> 5
+    at = np.arange(len(state))
+    back = []
+    for n in range(1, 5):
+        prev = np.zeros(len(state), np.int64)
+        prev[n:] = order[:-n]
+        back.append(np.where(at - n >= start, prev, 0))
+    # Tokens since the last one that two words of context didn't name.
+    last = np.maximum.accumulate(np.where(order != 3, at, -1))
+    run = np.minimum(np.concatenate([np.zeros(1, np.int64), (at - last)[:-1]])[: len(at)], at - start)
+    run = np.minimum(15, np.where(run > 0, 1 + np.log2(np.maximum(run, 1)).astype(np.int64), 0))
+    contexts = [two * 8 + one, back[0] * 64 + back[1] * 16 + back[2] * 4 + back[3], (back[0] * 4 + back[1]) * 8 + two, run * 8 + one, (back[0] * 8 + two) * 8 + one]
+    asked = np.stack([two > 0, (one > 0) & (order != 3), order < 2], 1)
+    bit = np.stack([order == 3, order == 2, order == 1], 1).astype(np.int64)
+    kind = np.broadcast_to(np.arange(3), bit.shape)
+    slots = np.stack([((k << 10) + kind * 256 + c[:, None])[asked] for k, c in enumerate(contexts)])
+    cell = kind * 64 + (back[0] * 16 + back[1] * 4 + back[2])[:, None]
+    gate = kind * 16 + run[:, None]
+    whose = np.broadcast_to(owner[:, None], bit.shape)
+    return Bits(whose[asked], bit[asked], cell[asked], slots, gate[asked])
+
+
+def _portions(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
+    """States of a batch's texts, of about TOKENS tokens at a time or of one longer text."""
+    states = [np.frombuffer(x.as_buffer(), np.uint8) for x in batch.column("states")]
+    part = np.cumsum([len(s) for s in states]) // TOKENS
+    edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
+    for s, e in zip(edges[:-1], edges[1:], strict=True):
+        yield states[s:e]
+
+
+def _order_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[Bits]:
+    for batch in batches:
+        yield from map(order_bits, _portions(batch))
 
 
-def _steps(tokens: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(token number of each byte, bits, known parts, slots), for up to STEP bytes at a time."""
-    raw, token, place = _flat(tokens)
-    contexts = _contexts(raw, place)
-    for s in range(0, len(raw), STEP):
-        yield token[s : s + STEP], *_bits(raw[s : s + STEP], contexts[:, s : s + STEP])
+# ---- numbers in few bytes
 
 
-def _inputs(model: Model, slots: np.ndarray, bit: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """(predictions on the logistic scale and a constant, gates). With the bits given, each is left out of its own counts."""
-    n, one = model.seen[slots].astype(np.float64), model.ones[slots].astype(np.float64)
-    if bit is not None:
-        n, one = np.maximum(n - 1, 0), np.maximum(one - bit, 0)
-        one = np.minimum(one, n)
-    x = np.ones((K + 1, slots.shape[1]))
-    x[:K] = np.where(n > 0, np.log((one + 0.02) / (n - one + 0.02)), 0.0)
-    level = np.minimum(7, np.log2(n + 1)).astype(np.int64)
-    return x, level[4] * 8 + level[3]
+def _zipped(data: bytes) -> bytes:
+    return struct.pack("<Q", len(data)) + pa.compress(data, codec="zstd", asbytes=True)
 
 
-def _squash(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+def _unzipped(data: bytes) -> bytes:
+    return pa.decompress(data[8:], struct.unpack("<Q", data[:8])[0], codec="zstd", asbytes=True)
 
 
-def _mixed(model: Model, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-    return (model.weights[gate] * x.T).sum(1)
+def _framed(data: bytes) -> bytes:
+    return struct.pack("<Q", len(data)) + data
 
 
-def _bin(z: np.ndarray) -> np.ndarray:
-    return np.clip(((z + 12) * (BINS / 24)).astype(np.int64), 0, BINS - 1)
+def _unframed(data: bytes) -> tuple[bytes, bytes]:
+    n = 8 + struct.unpack("<Q", data[:8])[0]
+    return data[8:n], data[n:]
 
 
-def log10_probability(model: Model, tokens: list[bytes]) -> np.ndarray:
-    """log10 of each token's probability, the closing byte included."""
-    out = np.zeros(len(tokens))
-    for token, bit, known, slots in _steps(tokens):
-        x, gate = _inputs(model, slots, None)
-        z = _mixed(model, x, gate)
-        p = (_squash(z) + model.refined[known, _bin(z)]) / 2
-        p = np.clip(p, 1e-9, 1 - 1e-9)
-        out += np.bincount(np.repeat(token, 8), np.log10(np.where(bit == 1, p, 1 - p)), len(tokens))
-    return out
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 on: byte by byte of equal rank, those of the highest rank last, compressed."""
+    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    data = pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+    return struct.pack("<BQQ", width, len(x), len(data)) + data
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    for batch in batches:
-        if len(batch):
-            yield [t.as_py().encode("utf-8", "surrogatepass") for t in batch.column(0)], batch.column(1).to_numpy(zero_copy_only=False)
+def packed_size(data: bytes) -> int:
+    return 17 + struct.unpack("<Q", data[9:17])[0]
 
 
-def _blocks(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(block, data) of two arrays, BLOCK of each in a row; blocks of zeros are left out."""
-    both = np.zeros((2, -(-len(a) // BLOCK) * BLOCK), np.float32)
-    both[0, : len(a)], both[1, : len(b)] = a, b
-    both = both.reshape(2, -1, BLOCK).transpose(1, 0, 2)
-    for s in range(0, len(both), 64):
-        held = [i for i in range(s, min(s + 64, len(both))) if both[i].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([both[i].tobytes() for i in held], pa.binary())], ["block", "data"])
+def unpacked(data: bytes) -> np.ndarray:
+    width, n, size = struct.unpack("<BQQ", data[:17])
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, :width] = np.frombuffer(pa.decompress(data[17 : 17 + size], width * n, codec="zstd", asbytes=True), np.uint8).reshape(width, n).T
+    return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the data of each block; rows come sorted by block."""
-    at, total = None, None
-    row = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "data"])
-    for batch in batches:
-        for block, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            own = np.frombuffer(data.as_buffer(), np.float32)
-            if block == at:
-                total = total + own
-                continue
-            if at is not None:
-                yield row()
-            at, total = block, own
-    if at is not None:
-        yield row()
-
-
-def _gathered(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two arrays of n, summed over all tasks: they have a fixed size, and so has what reaches the driver."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = rows.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_summed, "block int, data binary").toArrow()
-    both = np.zeros((-(-n // BLOCK), 2, BLOCK), np.float32)
-    for block, data in zip(found.column("block").to_pylist(), found.column("data"), strict=True):
-        both[block] = np.frombuffer(data.as_buffer(), np.float32).reshape(2, BLOCK)
-    return both[:, 0].reshape(-1)[:n].copy(), both[:, 1].reshape(-1)[:n].copy()
+# ---- chunks and their counts
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of ones and of all bits by slot over a task's words."""
-    ones, seen = np.zeros(SLOTS), np.zeros(SLOTS)
-    for tokens, c in _batches(batches):
-        for token, bit, _, slots in _steps(tokens):
-            weight, one = np.repeat(c[token].astype(np.float64), 8), bit == 1
-            np.add.at(seen, slots.ravel(), np.tile(weight, K))
-            np.add.at(ones, slots[:, one].ravel(), np.tile(weight[one], K))
-    yield from _blocks(ones, seen)
+class _Names(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = name = xxhash.xxh64_intdigest(word)
+        return name
 
 
-def _learn(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Online steps over a task's words; yields the weights, to be averaged, and the refined cells' hits, to be summed.
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * _A
+    x = (x ^ (x >> np.uint64(29))) * _B
+    return x ^ (x >> np.uint64(32))
 
-    Each short run of bits makes one second-order step, with the curvature that has gathered so far.
-    """
-    w, total = model.weights, 0.0
-    hits, times = np.zeros(256 * BINS), np.zeros(256 * BINS)
-    curve = np.repeat(np.eye(K + 1)[None] * 200.0, GATES, 0)
-    for tokens, c in _batches(batches):
-        for token, bit, known, slots in _steps(tokens):
-            weight = np.repeat(c[token].astype(np.float64), 8)
-            x, gate = _inputs(model, slots, bit)
-            for s in range(0, len(bit), 1 << 14):
-                part = slice(s, s + (1 << 14))
-                xs, gs, ws = x[:, part], gate[part], weight[part]
-                z = (w[gs] * xs.T).sum(1)
-                p = _squash(z)
-                err, bend = (bit[part] - p) * ws, np.maximum(p * (1 - p), 1e-4) * ws
-                slope = np.stack([np.bincount(gs, err * xs[k], GATES) for k in range(K + 1)], 1)
-                for i in range(K + 1):
-                    for j in range(i + 1):
-                        add = np.bincount(gs, bend * xs[i] * xs[j], GATES)
-                        curve[:, i, j] += add
-                        if i != j:
-                            curve[:, j, i] += add
-                w += np.linalg.solve(curve, slope[:, :, None])[:, :, 0]
-                cell = known[part] * BINS + _bin(z)
-                hits += np.bincount(cell, ws * bit[part], 256 * BINS)
-                times += np.bincount(cell, ws, 256 * BINS)
-            total += float(weight.sum())
-    flat = w.ravel()
-    yield from _blocks(np.concatenate([flat * total, hits]), np.concatenate([np.full(len(flat), total), times]))
-
-
-def train(words: DataFrame) -> Model:
-    """Learns from rows (token, c) of distinct words: counts first, then weights and refinement over all of them."""
-    spark = words.sparkSession
-    words = words.where("c > 0").select("token", "c")
-    # A task sends on a whole table, so their number follows that of words.
-    words = words.repartition(max(6, -(-words.count() // WORDS)), F.xxhash64("token", F.lit(3)))
-    ones, seen = _gathered(words.mapInArrow(_count, "block int, data binary"), SLOTS)
-    weights = np.zeros((GATES, K + 1))
-    weights[:, :K] = 0.3
-    blank = np.repeat(_squash((np.arange(BINS) + 0.5) * (24 / BINS) - 12)[None], 256, 0)
-    model = Model(ones, seen, weights, blank)
-    shared = spark.sparkContext.broadcast(model)
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        return _learn(Model(m.ones, m.seen, m.weights.copy(), m.refined), batches)
+def words_of(text: str) -> list[bytes]:
+    """Words, A-Z in lower case, and the end, an empty word."""
+    out = _WORD.findall(text.encode("utf-8", "surrogatepass").lower())
+    out.append(b"")
+    return out
 
-    n = GATES * (K + 1)
-    a, b = _gathered(words.mapInArrow(learn, "block int, data binary"), n + 256 * BINS)
-    if b[:n].any():
-        model.weights = (a[:n] / b[:n]).reshape(GATES, K + 1).astype(np.float64)
-    hits, times = a[n:].reshape(256, BINS), b[n:].reshape(256, BINS)
-    model.refined = (hits + 50 * blank) / (times + 50)
-    shared.unpersist()
-    return model
 
+class Chunk:
+    """The tokens of some rows (id, train, text) in a row."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        each = [words_of(t.as_py()) for t in batch.column("text")]
+        self.ids, self.sizes = batch.column("id"), np.array([len(w) for w in each], np.int64)
+        self.words = [w for ws in each for w in ws]
+        known = _workers.setdefault("names", _Names())
+        self.names = np.fromiter(map(known.__getitem__, self.words), np.uint64, len(self.words))
+        if len(known) > REMEMBERED:
+            known.clear()
+        self.of = np.repeat(np.arange(len(each)), self.sizes)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
+        self.learns = self.train[self.of]
+
+    def keys(self, bits: int) -> list[np.ndarray]:
+        """Names of words (64 bits), and of pairs and triples that end at each word (bits)."""
+        one, two = np.full(len(self.names), _START), np.full(len(self.names), _START)
+        one[1:], two[2:] = self.names[:-1], self.names[:-2]
+        one[self.first] = two[self.first] = _START
+        second = self.first[self.sizes > 1] + 1
+        two[second] = _START
+        with np.errstate(over="ignore"):
+            pair = _mix(self.names * _A + _mix(one))
+            triple = _mix(self.names * _A + _mix(one + _mix(two) * _B))
+        return [self.names, pair >> np.uint64(64 - bits), triple >> np.uint64(64 - bits)]
+
+
+def _body(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unbody(data: bytes) -> pa.RecordBatch:
+    return next(iter(pa.ipc.open_stream(data)))
+
+
+def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (chunk, size, body) of about CHARACTERS characters, or of one longer text."""
+    part, n = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        sizes = pc.add(pc.utf8_length(batch.column("text")), 1).to_numpy(zero_copy_only=False)
+        mark = np.cumsum(sizes) // CHARACTERS
+        edges = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1], True]) if len(mark) else []
+        for s, e in zip(edges[:-1], edges[1:], strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array([(part << 32) + n], pa.int64()), pa.array([int(sizes[s:e].sum())], pa.int64()), pa.array([_body(batch.slice(int(s), int(e - s)))], pa.binary())], ["chunk", "size", "body"])
+            n += 1
 
-def tokens_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, h, train, token): a row a token; the end is the empty token. h tells rows with one id and other texts apart."""
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
-    words = F.regexp_extract_all(ascii_lower(F.col("t")), F.lit(WORD), F.lit(0))
-    learns = F.coalesce(crc_mod("id", 7) != 2, F.lit(True))
-    return rows.select("id", F.xxhash64("t").alias("h"), learns.alias("train"), F.explode(F.concat(words, F.array(F.lit("")))).alias("token"))
+
+_ASKED = "kind int, slice int, chunk long, keys binary, counts binary, words binary"
+_REPLY = "chunk long, kind int, slice int, payload binary, tokens long, types long"
+
+
+def _names_of(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+def _ask(batches: Iterator[pa.RecordBatch], bits: int, deep: int) -> Iterator[pa.RecordBatch]:
+    """A chunk's distinct words, pairs and triples with their counts in its training texts, a row for each of 2**deep slices."""
+    for batch in batches:
+        for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
+            c = Chunk(_unbody(data.as_py()))
+            for kind, names in enumerate(c.keys(bits)):
+                keys, at = np.unique(names, return_index=True) if kind == 0 else (np.unique(names), None)
+                own, n = np.unique(names[c.learns], return_counts=True)
+                counts = np.zeros(len(keys), np.int64)
+                counts[np.searchsorted(keys, own)] = n
+                of = keys >> np.uint64((64 if kind == 0 else bits) - deep) if deep else np.zeros(len(keys), np.uint64)
+                edges = np.searchsorted(of, np.arange((1 << deep) + 1, dtype=np.uint64))
+                rows = []
+                for i in range(1 << deep):
+                    s, e = int(edges[i]), int(edges[i + 1])
+                    if s < e:
+                        words = _zipped(b" ".join([c.words[j] for j in at[s:e].tolist()])) if kind == 0 else None
+                        rows.append((kind, i, chunk, packed(np.diff(keys[s:e], prepend=np.uint64(0))), packed(counts[s:e]), words))
+                types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], _names_of(_ASKED))
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts over all chunks, for each chunk in the order of its keys; rows come sorted by kind and slice. Of words, also the distinct ones that were learned, under chunk -1."""
+    held: list[dict] = []
+
+    def slice_done() -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            keys = [np.cumsum(unpacked(r["keys"]), dtype=np.uint64) for r in held]
+        flat, n = np.concatenate(keys), np.concatenate([unpacked(r["counts"]) for r in held])
+        order = np.argsort(flat, kind="stable")
+        new = np.r_[True, flat[order][1:] != flat[order][:-1]]
+        total = np.add.reduceat(n[order], np.flatnonzero(new))
+        each = np.empty(len(flat), np.uint64)
+        each[order] = total[np.cumsum(new) - 1]
+        edges = np.cumsum([0, *map(len, keys)])
+        kind, at = held[0]["kind"], held[0]["slice"]
+        rows = [(r["chunk"], kind, at, packed(each[s:e]), 0, 0) for r, s, e in zip(held, edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        if kind == 0 and total.any():
+            words = [w for r in held for w in _unzipped(r["words"]).split(b" ")]
+            firsts = order[new][total > 0]
+            rows.append((-1, kind, at, _zipped(b" ".join([words[i] for i in firsts.tolist()])), int(total.sum()), len(firsts)))
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], _names_of(_REPLY))
+
+    for batch in batches:
+        for r in batch.to_pylist():
+            if held and (r["kind"], r["slice"]) != (held[0]["kind"], held[0]["slice"]):
+                yield from slice_done()
+                held = []
+            held.append(r)
+    if held:
+        yield from slice_done()
+
+
+def _state(c: Chunk, bits: int, answers: list[np.ndarray], n: int, v: int, spelling: Model) -> list[pa.Array]:
+    """Columns of a chunk's rows: n_tokens, n_known, base, fixed, bytes, states. fixed adds the shares that name words, and the bits that spell them."""
+    counts, places = [], []
+    for names, reply in zip(c.keys(bits), answers, strict=True):
+        _, at, inverse = np.unique(names, return_index=True, return_inverse=True)
+        counts.append(reply.astype(np.int64)[inverse])
+        places.append((at, inverse))
+    word, pair, triple = (x - c.learns for x in counts)
+    begins = np.zeros(len(word), bool)
+    begins[c.first] = True
+    # How often the contexts were seen: the pair, and the last word, that end before each token.
+    two, one = (np.where(begins, 0, np.concatenate([np.zeros(1, np.int64), x[:-1]])) for x in (pair, word))
+    order = np.where((two > 0) & (triple > 0), 3, np.where((one > 0) & (pair > 0), 2, np.where(word > 0, 1, 0)))
+    share = np.select([order == 3, order == 2, order == 1], [triple / np.maximum(two, 1), pair / np.maximum(one, 1), word / np.maximum(n - c.learns, 1)], 1.0)
+    fixed = np.log10(share)
+    # Each distinct word is spelled once.
+    at, inverse = places[0]
+    unknown = np.unique(inverse[order == 0])
+    cost = np.zeros(len(at))
+    for s in range(0, len(unknown), STEP):
+        part = unknown[s : s + STEP]
+        words = [c.words[i] for i in at[part].tolist()]
+        cost[part] = log10_probability(spelling, spelled(words), len(words))
+    fixed += np.where(order == 0, cost[inverse], 0.0)
+    base = np.log10((counts[0] + 1) / (n + v + 1))
+    sizes = np.fromiter(map(len, c.words), np.int64, len(c.words)) + 1
+    docs = len(c.sizes)
+    add = lambda x: np.bincount(c.of, x, docs)
+    states = (order + 4 * levels(two) + 32 * levels(one)).astype(np.uint8).tobytes()
+    states = [states[s : s + k] for s, k in zip(c.first.tolist(), c.sizes.tolist(), strict=True)]
+    longs = [pa.array(x.astype(np.int64), pa.int64()) for x in (c.sizes, add(counts[0] > 0))]
+    return [*longs, pa.array(add(base), pa.float64()), pa.array(add(fixed), pa.float64()), pa.array(add(sizes).astype(np.int64), pa.int64()), pa.array(states, pa.binary())]
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,44 +560,58 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     Rows with crc32(id as text) mod 7 = 2 are scored but not learned from; those with a null id are learned from. Null
     texts are empty and hold the end alone. Repeated rows score alike. Without training tokens the base counts none and the
-    model is uniform. An empty table gives an empty result; other columns are not read.
+    model is uniform. An empty table gives an empty result; other columns are not read. Memory grows with the longest text.
     """
     spark = docs.sparkSession
-    shared = Shared(spark, "lm")
-    rows = tokens_of(docs, id_col, text_col)
-    words = rows.groupBy("token").agg(F.sum(F.col("train").cast("long")).alias("c"), F.count("*").alias("n"))
-    words = shared.save(words, "words")
-    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    model = spark.sparkContext.broadcast(train(words))
+    shared, parts = Shared(spark, "lm"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    learns = F.coalesce(crc_mod("id", 7) != 2, F.lit(True))
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).select("id", learns.alias("train"), "text")
+    id_type = rows.schema["id"].dataType.simpleString()
+    chunks = shared.save(rows.mapInArrow(_bundle, "chunk long, size long, body binary"), "chunks")
+    number, size = chunks.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    bits = min(64, max(16, int(size).bit_length() + 8))
+    deep = min(bits - 1, max(0, int(size) // SLICE).bit_length())
+    asked = chunks.select("chunk", "body").mapInArrow(lambda b: _ask(b, bits, deep), _ASKED)
+    asked = asked.repartition(max(parts, 1 << deep), "kind", "slice").sortWithinPartitions("kind", "slice", "chunk")
+    replies = shared.save(asked.mapInArrow(_answer, _REPLY), "replies")
+    learned = replies.where("chunk = -1")
+    total, distinct = (int(x) for x in learned.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first())
+    spelling = spark.sparkContext.broadcast(trained(learned.select("payload"), SPELL_BITS, _spelling_steps))
+
+    schema = f"id {id_type}, train boolean, n_tokens long, n_known long, base_score double, fixed double, bytes long, states binary"
+
+    def state(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answers: list[list[np.ndarray]] = [[], [], []]
+        for batch in batches:
+            for kind, data in zip(batch.column("kind").to_pylist(), batch.column("payload"), strict=True):
+                if kind < 3:
+                    answers[kind].append(unpacked(data.as_py()))
+                    continue
+                c = Chunk(_unbody(data.as_py()))  # comes after its answers
+                columns = _state(c, bits, [np.concatenate(a) for a in answers], total, distinct, spelling.value)
+                answers = [[], [], []]
+                yield pa.RecordBatch.from_arrays([c.ids, pa.array(c.train), *columns], _names_of(schema))
+
+    both = replies.where("chunk >= 0").select("chunk", "kind", "slice", "payload").unionByName(chunks.select("chunk", F.lit(9).alias("kind"), F.lit(0).alias("slice"), F.col("body").alias("payload")))
+    both = both.repartition(max(parts, -(-int(number) // 2)), "chunk").sortWithinPartitions("chunk", "kind", "slice")
+    states = shared.save(both.select("kind", "payload").mapInArrow(state, schema), "states")
+    spelling.unpersist()
+    orders = spark.sparkContext.broadcast(trained(states.where("train").select("states"), ORDER_BITS, _order_steps))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                lp = log10_probability(model.value, [t.as_py().encode("utf-8", "surrogatepass") for t in batch.column(0)])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lp, pa.float64())], [*batch.schema.names, "lp"])
-
-    words = shared.save(words.select("token", "c", "n").mapInArrow(scored, "token string, c long, n long, lp double"), "scored")
-    base = F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))
-    values = ["token", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), "lp"]
-    # The number of frequent words and their length are bounded, so they may be sent to all tasks.
-    frequent = words.where(F.octet_length("token") <= LENGTH).orderBy((F.col("token") == "").desc(), F.col("n").desc(), "token").limit(FREQUENT).select(*values)
-    frequent = shared.save(frequent, "frequent")
-    sums = [F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("lp").alias("lp"), F.sum(F.octet_length("token") + 1).alias("bytes")]
-    near = rows.join(F.broadcast(frequent), "token").groupBy("id", "h").agg(F.count("*").alias("n"), F.count_if(F.col("token") == "").alias("m"), *sums)
-    rare = rows.join(F.broadcast(frequent.select("token")), "token", "left_anti").select("id", "h", "token")
-    rare = rare.join(words.select(*values), "token").groupBy("id", "h").agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("m"), *sums)
-    found = near.unionByName(rare).groupBy("id", "h").agg(*[F.sum(x).alias(x) for x in ("n", "m", "known", "base", "lp", "bytes")])
-    # m rows share id and text: each has one end. The end comes first among the frequent words, however rare.
-    found = found.withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
-    held_out = F.coalesce(crc_mod("id", 7) == 2, F.lit(False))
-    each = lambda x: F.col(x) / F.col("m")
+                own = np.concatenate([log10_probability(orders.value, iter([order_bits(p)]), len(p)) for p in _portions(batch)])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(own, pa.float64())], [*batch.schema.names[:-1], "own"])
+
+    found = states.mapInArrow(scored, schema.removesuffix("states binary") + "own double").withColumn("score", F.col("fixed") + F.col("own"))
     return found.select(
         "id",
-        held_out.alias("held_out"),
-        each("n").cast("long").alias("n_tokens"),
-        each("known").cast("long").alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"),
-        each("base").alias("base_score"),
-        each("lp").alias("score"),
-        (-each("lp") / F.log10(F.lit(2.0)) / each("bytes")).alias("bits_per_byte"),
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(total).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        (-F.col("score") / F.log10(F.lit(2.0)) / F.col("bytes")).alias("bits_per_byte"),
     )
