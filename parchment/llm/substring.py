@@ -9,8 +9,9 @@ substrings get the same symbols inside, all but a bounded margin at both ends.
 Two levels serve. After two rounds of pairs symbols span at most four words, and any
 WINDOW equal words hold a whole symbol at least three words from either end. Of these each window chooses the one with the smallest name, and names it by its words with three
 more on either side: equal windows choose equal phrases, wherever they stand. A phrase that other
-documents have too reveals where windows can repeat. At high levels symbols span whole passages; one
-that a smaller document has too covers all of its words at once, and windows
+documents have too reveals where windows can repeat. At high levels symbols span whole passages, which are named
+globally by 128 bits of a cryptographic hash of their words; one
+that a smaller document has too, word for word, covers all of its words at once, and windows
 inside need no look of their own. The remaining windows are compared by 128-bit
 names over all documents, which verifies them.
 """
@@ -163,14 +164,20 @@ class Texts:
         best[np.arange(self.n) + self.window > self.last[self.of]] = _FAR
         return best
 
-    def passages(self, top: Symbols) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(name, first word, end, document) of high-level symbols of at least a window and of whole documents, by document."""
-        ends = top.ends(self.n)
-        long, whole = ends - top.starts >= self.window, np.flatnonzero(self.counts >= self.window)
+    def passages(self, top: Symbols, of_these: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(name, first word, end, document) of high-level symbols of at least a window and of whole documents, by document.
+
+        A name is a row of two 64-bit numbers, which verify the words: they come from a cryptographic hash of the words themselves.
+        """
+        ends, wanted = top.ends(self.n), self.counts >= self.window
+        if of_these is not None:
+            wanted &= of_these
+        long, whole = (ends - top.starts >= self.window) & wanted[top.of], np.flatnonzero(wanted)
         s, e, of = np.r_[top.starts[long], self.first[whole]], np.r_[ends[long], self.last[whole]], np.r_[top.of[long], whole]
         order = np.argsort(of, kind="stable")
         s, e, of = s[order], e[order], of[order]
-        return self.spans(s, e, _N2), s, e, of
+        digests = [hashlib.blake2b(b" ".join(self.words[a:b]), digest_size=16).digest() for a, b in zip(s.tolist(), e.tolist(), strict=True)]
+        return np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2).astype(np.uint64), s, e, of
 
     def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Two 64-bit names of the windows that start at the words `at`."""
@@ -181,8 +188,8 @@ class Texts:
         if not any(map(len, low)) and not any(map(len, high)):
             return np.zeros(self.n, bool), np.empty(0, np.int64)
         lows, top = self.levels()
-        name, s, e, of = self.passages(top)
-        hit = among(name, of, high)
+        name, s, e, of = self.passages(top, np.array([len(x) > 0 for x in high], bool))
+        hit = among(name[:, 0], of, high)
         s, e = s[hit], e[hit]
         best = self.phrases(lows)
         open_ = (best != _FAR) & among(best, self.of, low) & ~cover(self.n, s, e - self.window + 1)
@@ -231,8 +238,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Each word that a window covers whose words also start a window in a document with a smaller id is removed; windows
     are judged on the input. kept holds the kept words joined by one space. Ids must be integers; a null id counts
-    as larger than all others. Rows that share an id never remove each other's words. Null texts have no words; texts
-    with fewer words than a window lose none. An empty table gives an empty result; other columns are not read.
+    as larger than all others. Rows that share an id, repeated rows among them, never remove each other's words. Null texts have no words; texts
+    with fewer words than a window lose none. An empty table gives an empty result; other columns are not read. Memory grows with the longest text.
     """
     if window != WINDOW:
         raise ValueError(f"the margins are made for windows of {WINDOW} words")
@@ -240,6 +247,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = Shared(spark, "substring")
     big = 2**63 - 1
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(big)).alias("key"), text_of(text_col).alias("text"))
+    # Rows without an id share their key; their lists are told apart by text, so that none gathers what all of them have.
+    rows = rows.select("id", "key", F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)).alias("sub"), "text")
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -250,19 +259,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 new = best != _FAR
                 new[1:] &= (best[1:] != best[:-1]) | (t.of[1:] != t.of[:-1])
                 high, _, _, of = t.passages(top)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), _lists(best[new], t.of[new], len(batch)), _lists(high, of, len(batch))], ["key", "low", "high"])
-
-    named = shared.save(rows.select("key", "text").mapInArrow(name, "key long, low array<long>, high array<long>"), "named")
-    listed = named.select("key", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("low").alias("names")), F.struct(F.lit(1).alias("kind"), F.col("high").alias("names")))).alias("s"))
-    listed = listed.select("key", "s.kind", F.explode("s.names").alias("name"))
+            names = [_lists(best[new], t.of[new], len(batch)), *(_lists(high[:, i], of, len(batch)) for i in (0, 1))]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("sub"), *names], ["key", "sub", "low", "high", "more"])
+
+    named = shared.save(rows.select("key", "sub", "text").mapInArrow(name, "key long, sub long, low array<long>, high array<long>, more array<long>"), "named")
+    # Low names have 64 bits, since what they find is compared later, and 0 as the rest; high ones have 128.
+    low = F.transform("low", lambda n: F.struct(n.alias("name"), F.lit(0).cast("long").alias("more")))
+    high = F.zip_with("high", "more", lambda n, m: F.struct(n.alias("name"), m.alias("more")))
+    listed = named.select("key", "sub", F.explode(F.concat(low, high)).alias("s")).select("key", "sub", "s.name", "s.more")
     # Names that two documents have; partial results meet, not rows.
-    common = listed.groupBy("kind", "name").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
-    common = shared.save(common.select("kind", "name", "least"), "common")
+    common = listed.groupBy("name", "more").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
+    common = shared.save(common.select("name", "more", "least"), "common")
     # For each document: shared phrases, and passages that a smaller document has.
-    found = listed.join(common, ["kind", "name"]).where("kind = 0 OR least < key")
-    found = found.groupBy("key").agg(F.collect_set(F.when(F.col("kind") == 0, F.col("name"))).alias("low"), F.collect_set(F.when(F.col("kind") == 1, F.col("name"))).alias("high"))
-    found = shared.save(found.withColumnRenamed("key", "f_key"), "found")
-    touched = rows.join(found, F.col("key") == F.col("f_key"), "left").drop("f_key")
+    found = listed.join(common, ["name", "more"]).where("more = 0 OR least < key")
+    found = found.groupBy("key", "sub").agg(F.collect_set(F.when(F.col("more") == 0, F.col("name"))).alias("low"), F.collect_set(F.when(F.col("more") != 0, F.col("name"))).alias("high"))
+    found = shared.save(found.withColumnsRenamed({"key": "f_key", "sub": "f_sub"}), "found")
+    touched = rows.join(found, (F.col("key") == F.col("f_key")) & (F.col("sub") == F.col("f_sub")), "left").drop("f_key", "f_sub")
 
     def open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -270,15 +282,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 t = Texts(batch.column("text").to_pylist())
                 _, at = t.judge(_arrays(batch.column("low")), _arrays(batch.column("high")))
                 a, b = t.windows(at)
-            keys = batch.column("key").to_numpy(zero_copy_only=False)[t.of[at]]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _longs(a), _longs(b)], ["key", "a", "b"])
+            keys = [pa.array(batch.column(c).to_numpy(zero_copy_only=False)[t.of[at]], pa.int64()) for c in ("key", "sub")]
+            yield pa.RecordBatch.from_arrays([*keys, _longs(a), _longs(b)], ["key", "sub", "a", "b"])
 
-    judged = shared.save(touched.where("low IS NOT NULL").select("key", "text", "low", "high").mapInArrow(open_windows, "key long, a long, b long").distinct(), "windows")
+    judged = shared.save(touched.where("low IS NOT NULL").select("key", "sub", "text", "low", "high").mapInArrow(open_windows, "key long, sub long, a long, b long").distinct(), "windows")
     least = judged.groupBy("a", "b").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").drop("most")
     least = shared.save(least, "least")
-    repeated = judged.join(least, ["a", "b"]).where("least < key").groupBy("key").agg(F.collect_set("a").alias("again"))
-    repeated = shared.save(repeated.withColumnRenamed("key", "r_key"), "repeated")
-    last = touched.join(repeated, F.col("key") == F.col("r_key"), "left").drop("r_key")
+    repeated = judged.join(least, ["a", "b"]).where("least < key").groupBy("key", "sub").agg(F.collect_set("a").alias("again"))
+    repeated = shared.save(repeated.withColumnsRenamed({"key": "r_key", "sub": "r_sub"}), "repeated")
+    last = touched.join(repeated, (F.col("key") == F.col("r_key")) & (F.col("sub") == F.col("r_sub")), "left").drop("r_key", "r_sub")
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_words long, n_removed long, kept_sha256 string, kept string"

@@ -107,3 +107,21 @@ def test_slices(monkeypatch, make, odd):
     batch = pa.RecordBatch.from_arrays([pa.array(["abc", "x" * 50, "", "de", "f" * 9])], ["text"])
     parts = list(M._slices(iter([batch, batch.slice(0, 0)])))
     assert pa.concat_arrays([p.column(0) for p in parts]).equals(batch.column(0)) and len(parts) > 1
+
+
+def test_long_repeats_are_verified(make):
+    """Two texts of 4100 words that sums of powers modulo 2**64 can't tell apart: swaps at all subset sums of 16 * 2**i, by parity."""
+    a = [f"w{i}" for i in range(4100)]
+    b = list(a)
+    for n in range(256):
+        at, odd = 16 * n, bin(n).count("1") % 2
+        a[at], b[at] = ("UU", "VV") if odd else ("VV", "UU")
+    rows = [(1, " ".join(a), "en", "x"), (2, " ".join(b), "en", "x")]
+    check(make(rows), rows)
+
+
+def test_many_rows_without_an_id(make):
+    rng = random.Random(3)
+    prose = [" ".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(5)]
+    rows = [(None, rng.choice(prose) + f" x{i % 7} " + rng.choice(prose), "en", "x") for i in range(30)] + [(5, prose[0], "en", "x")]
+    check(make(rows), rows)
