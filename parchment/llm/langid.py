@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import sampled, without
+from parchment.llm.common import Shared, sampled, without
 
 #: What is given to a text that is null or has no letter.
 UNKNOWN = "und"
@@ -30,12 +31,32 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _workers: dict[str, "_Scorer"] = {}
 
 
+class Rows:
+    """Rows of numbers by name: one list of names and one matrix, which travel as they are; the index is made where it is used."""
+
+    def __init__(self, names: pa.Array, matrix: np.ndarray):
+        self.names, self.matrix = names, matrix.astype(np.float32)
+        self.index: dict[str, int] | None = None
+
+    def __getstate__(self) -> dict:
+        return {"names": self.names, "matrix": self.matrix, "index": None}
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def get(self, name: str) -> np.ndarray | None:
+        if self.index is None:
+            self.index = {x: i for i, x in enumerate(self.names.to_pylist())}
+        i = self.index.get(name)
+        return None if i is None else self.matrix[i]
+
+
 @dataclass
 class Model:
     langs: list[str]
     prior: np.ndarray
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: Rows | dict[str, np.ndarray]
+    grams: Rows | dict[str, np.ndarray]
 
 
 def letters(text: str) -> list[str]:
@@ -48,55 +69,65 @@ def grams_of(word: str, n: int) -> list[str]:
     return [w[i : i + n] for i in range(len(w) - n + 1)]
 
 
-def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", documents: int = 6000, words: int = 60_000, grams: int = 60_000, smooth: float = 0.1) -> Model:
-    """Learns from about `documents` whole documents with a language, those with the least hashes of their ids.
+def _by_name(found: pa.Table, langs: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """(names, names by languages) of rows (name, lang, n), each pair at most once."""
+    coded = found.column("name").combine_chunks().dictionary_encode()
+    matrix = np.zeros((len(coded.dictionary), len(langs)))
+    of = pc.index_in(found.column("lang").combine_chunks(), value_set=pa.array(langs, pa.string()))
+    matrix[coded.indices.to_numpy(zero_copy_only=False), of.to_numpy(zero_copy_only=False)] = found.column("n").to_numpy()
+    return coded.dictionary, matrix
+
 
-    The model holds at most `words` words and `grams` n-grams, the most frequent ones, so what reaches
-    the driver and the workers is bounded by the other two.
+def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", documents: int = 6000, smooth: float = 0.1) -> Model:
+    """Learns from about `documents` whole documents with a language, those with the least hashes of their ids (null ids like one id).
+
+    All their words and n-grams are learned, counted by the cluster; one row for each of them and language reaches the driver and, in the
+    model, the workers: that is bounded by the number of documents. Rows with null text or language teach nothing; repeated rows count
+    each. Without any row the model knows no language. Other columns are not read.
     """
+    shared = Shared(rows.sparkSession, "langid")
     sample = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     sample = sampled(sample.where("text IS NOT NULL AND lang IS NOT NULL"), documents)
+    schema = "name string, lang string, n long"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(seen: Counter) -> pa.RecordBatch:
+        keys = list(seen)
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())], ["name", "lang", "n"])
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
-            for text, lang in zip(batch.column(1), batch.column(2), strict=True):
-                lang = lang.as_py()
-                seen[lang, ""] += 1
-                seen.update((lang, w) for w in letters(text.as_py()) if len(w) <= 64)
-        keys = list(seen)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())], ["lang", "word", "n"])
+            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
+                seen["", lang] += 1  # documents
+                seen.update((w, lang) for w in letters(text))
+        yield counted(seen)
 
-    counts = sample.mapInArrow(count, "lang string, word string, n long").groupBy("word", "lang").agg(F.sum("n").alias("n"))
-    counts = counts.groupBy("word").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    top = counts.orderBy(F.col("word") != "", F.col("all").desc(), "word").limit(words + 1).collect()
-    docs = next((r.by for r in top if r.word == ""), {})
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: Counter = Counter()
+            for word, lang, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                # By the root of their counts: frequent words say little of how unseen words look. Whole numbers, so that sums don't depend on order.
+                weight = round(1000 * n**0.5)
+                for k in range(1, LONGEST + 1):
+                    for g in grams_of(word, k):
+                        seen[g, lang] += weight
+            yield counted(seen)
+
+    summed = lambda df: df.groupBy("name", "lang").agg(F.sum("n").alias("n"))
+    counts = shared.save(summed(sample.mapInArrow(words, schema)), "words")
+    docs = {r.lang: r.n for r in counts.where("name = ''").collect()}  # a row a language
     langs = sorted(docs)
-    of = {x: i for i, x in enumerate(langs)}
     prior = np.array([docs[x] for x in langs], float)
-
-    def logs(table: dict[str, np.ndarray], totals: np.ndarray) -> dict[str, np.ndarray]:
-        return {k: np.log((v + smooth) / (totals + smooth * len(table))) for k, v in table.items()}
-
-    by_word: dict[str, np.ndarray] = {}
-    for r in top:
-        if r.word:
-            by_word[r.word] = np.zeros(len(langs))
-            for lang, n in r.by.items():
-                by_word[r.word][of[lang]] = n
-    by_gram: dict[str, np.ndarray] = {}
-    for w, v in by_word.items():
-        # By the root of their counts: frequent words say little of how unseen words look.
-        v = np.sqrt(v)
-        for n in range(1, LONGEST + 1):
-            for g in grams_of(w, n):
-                by_gram[g] = by_gram.get(g, 0) + v
-    by_gram = dict(sorted(by_gram.items(), key=lambda x: (-x[1].sum(), x[0]))[:grams])
-    gram_scores: dict[str, np.ndarray] = {}
-    for n in range(1, LONGEST + 1):
-        own = {g: v for g, v in by_gram.items() if len(g) == n}
-        gram_scores |= logs(own, sum(own.values(), np.zeros(len(langs))))
-    return Model(langs, np.log(prior / prior.sum()) if len(langs) else prior, logs(by_word, sum(by_word.values(), np.zeros(len(langs)))), gram_scores)
+    known = counts.where("name != ''")
+    names, by_word = _by_name(known.toArrow(), langs)
+    logs = lambda v: np.log((v + smooth) / (v.sum(0) + smooth * len(v)))
+    word_rows = Rows(names, logs(by_word))
+    names, by_gram = _by_name(summed(known.mapInArrow(grams, schema)).toArrow(), langs)
+    size = pc.utf8_length(names).to_numpy(zero_copy_only=False)
+    for k in range(1, LONGEST + 1):
+        own = size == k
+        by_gram[own] = logs(by_gram[own] / 1000)
+    return Model(langs, np.log(prior / prior.sum()) if len(langs) else prior, word_rows, Rows(names, by_gram))
 
 
 def word_score(model: Model, word: str) -> np.ndarray:
@@ -171,13 +202,20 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang: str = "
 
 
 def identify(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per row of docs: id, lang_pred, score, learned from train, which is read at no other place."""
+    """One row per row of docs: id, lang_pred, score, learned from train, which is read at no other place.
+
+    What predict() says of nulls, ties, repeated rows and empty tables holds; other columns are not read.
+    """
     model = fit(train, lang_col, text_col, id_col)
     return predict(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), model).drop("text")
 
 
 def keep_known(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.5) -> DataFrame:
-    """docs without those rejected: texts that are null or without letters, and those for which no language reaches `least`."""
+    """docs without those rejected: texts that are null or without letters, and those for which no language reaches `least`.
+
+    Repeated rows share their fate; all columns are as they were, whatever their names. An empty table gives an empty result, and so
+    does any if nothing was learned.
+    """
     names = set(docs.columns)
     lang, score = (next(f"{x}{i}" for i in range(99) if f"{x}{i}" not in names) for x in ("_lang", "_score"))
     found = predict(docs, fit(train, lang_col, text_col, id_col), text_col, lang, score)
