@@ -6,14 +6,17 @@ unlabelled. With the share of good documents p (the class prior), the risk of a
     p * E_pos[loss(f)] + max(0, E_unl[loss(-f)] - p * E_pos[loss(-f)])
 
 whose second part estimates the risk on bad documents and is kept non-negative. A
-small network over features of the text minimises it. Its output is then
-mapped to a share of good documents by a monotone fit on labelled training rows.
+small network over features of the text minimises it. No document labelled bad is used anywhere.
+
+The prior is estimated from positives and unlabelled text alone: above any output the unlabelled text holds at least p times the share that the positives
+have there, and where a region is all good, just that; the least ratio, within its confidence, is the prior. Estimate and
+the map from outputs to probabilities, which minimises the same risk with the logistic loss, take all unlabelled rows into account.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import sampled, text_of, without
+from parchment.llm.common import Shared, sampled, text_of, without
 
 #: Slots of hashed word shapes.
 SHAPES = 256
@@ -54,6 +57,8 @@ class _Shapes(dict):
 
 
 FEATURES = 20
+#: Kinds of outputs that are counted, at most.
+BUCKETS = 4096
 
 
 def features(text: str) -> np.ndarray:
@@ -122,9 +127,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, units: int = 24, epochs: int = 60, batch: int = 512, rate: float = 3e-3, decay: float = 1e-4, seed: int = 7) -> Model:
-    """Minimises the non-negative risk with the sigmoid loss by Adam steps; where the bad documents' risk
-    is negative, the step goes against that part alone."""
+def _network(positive: np.ndarray, unlabelled: np.ndarray, pull: Callable[[np.ndarray, np.ndarray], np.ndarray], units: int, epochs: int, batch: int, rate: float, decay: float, seed: int) -> Model:
+    """A network of one hidden layer by Adam steps; pull gives the slopes of the risk in its outputs on positives and unlabelled rows."""
     rng = np.random.default_rng(seed)
     both = np.concatenate([positive, unlabelled])
     mean, scale = both.mean(0), both.std(0) + 1e-4
@@ -134,36 +138,76 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, units:
     z = lambda x: np.clip((x - mean) / scale, -6, 6).astype(np.float64)
     p, u = z(positive), z(unlabelled)
     steps = max(1, min(len(p), len(u)) // batch)
-    for _ in range(epochs):
-        for _ in range(steps):
-            xp, xu = p[rng.integers(0, len(p), batch)], u[rng.integers(0, len(u), batch)]
-            x = np.concatenate([xp, xu])
-            h = np.tanh(x @ w["a"] + w["b"])
-            f = h @ w["c"] + w["e"]
-            good = _sigmoid(f)  # loss(f) = 1 - good, loss(-f) = good
-            bad_risk = good[batch:].mean() - prior * good[:batch].mean()
-            slope = good * (1 - good) / batch
-            g = np.concatenate([-2 * prior * slope[:batch], slope[batch:]])
-            if bad_risk < 0:
-                g = np.concatenate([prior * slope[:batch], -slope[batch:]])
-            gh = np.outer(g, w["c"]) * (1 - h * h)
-            grads = {"a": x.T @ gh + decay * w["a"], "b": gh.sum(0), "c": h.T @ g + decay * w["c"], "e": np.array([g.sum()])}
-            t += 1
-            for k, gr in grads.items():
-                m[k] = 0.9 * m[k] + 0.1 * gr
-                v[k] = 0.999 * v[k] + 0.001 * gr * gr
-                w[k] = w[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
-    return Model(mean, scale, (w["a"], w["b"]), (w["c"], float(w["e"][0])), prior=prior)
-
-
-def calibrate(model: Model, x: np.ndarray, good: np.ndarray) -> None:
-    """A logistic fit of the label on the model's output, by Newton steps; only a rising one is kept."""
-    f = model.raw(x)
+    for _ in range(epochs * steps):
+        x = np.concatenate([p[rng.integers(0, len(p), batch)], u[rng.integers(0, len(u), batch)]])
+        h = np.tanh(x @ w["a"] + w["b"])
+        f = h @ w["c"] + w["e"]
+        g = pull(f[:batch], f[batch:])
+        gh = np.outer(g, w["c"]) * (1 - h * h)
+        grads = {"a": x.T @ gh + decay * w["a"], "b": gh.sum(0), "c": h.T @ g + decay * w["c"], "e": np.array([g.sum()])}
+        t += 1
+        for k, gr in grads.items():
+            m[k] = 0.9 * m[k] + 0.1 * gr
+            v[k] = 0.999 * v[k] + 0.001 * gr * gr
+            w[k] = w[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+    return Model(mean, scale, (w["a"], w["b"]), (w["c"], float(w["e"][0])))
+
+
+def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, units: int = 24, epochs: int = 60, batch: int = 512, rate: float = 3e-3, decay: float = 1e-4, seed: int = 7) -> Model:
+    """Minimises the non-negative risk with the sigmoid loss; where the bad documents' risk is negative, a step goes against that part alone."""
+
+    def pull(fp: np.ndarray, fu: np.ndarray) -> np.ndarray:
+        good, free = _sigmoid(fp), _sigmoid(fu)  # loss(f) = 1 - good, loss(-f) = good
+        sp, su = good * (1 - good) / len(fp), free * (1 - free) / len(fu)
+        if free.mean() - prior * good.mean() < 0:
+            return np.concatenate([prior * sp, -su])
+        return np.concatenate([-2 * prior * sp, su])
+
+    out = _network(positive, unlabelled, pull, units, epochs, batch, rate, decay, seed)
+    out.prior = prior
+    return out
+
+
+def fit_apart(positive: np.ndarray, unlabelled: np.ndarray, epochs: int = 30, seed: int = 11) -> Model:
+    """A network that tells positives from unlabelled rows, by the logistic loss."""
+    pull = lambda fp, fu: np.concatenate([(_sigmoid(fp) - 1) / len(fp), _sigmoid(fu) / len(fu)])
+    return _network(positive, unlabelled, pull, 24, epochs, 512, 3e-3, 1e-3, seed)
+
+
+def estimate_prior(positive: np.ndarray, outputs: np.ndarray, counts: np.ndarray) -> float:
+    """The share of good ones among unlabelled rows, of which counts have these outputs, by the outputs of positives that had no part in their making.
+
+    At every output the share of unlabelled rows from there up is divided by that of positives; the least of
+    these ratios counts, each raised by what chance allows for (with confidence 0.9). Between 0.01 and 0.99.
+    """
+    order = np.argsort(-outputs, kind="stable")
+    cuts, total = outputs[order], max(1, int(counts.sum()))
+    above = np.cumsum(counts[order]) / total
+    own = np.sort(positive)
+    share = (len(own) - np.searchsorted(own, cuts, side="left")) / max(1, len(own))
+    noise = np.sqrt(np.log(40.0) / 2) * (1 / np.sqrt(total) + 1 / np.sqrt(max(1, len(own))))
+    seen = share > 0
+    if not seen.any():
+        return 0.5
+    bound = (above[seen] + 1.01 * noise) / share[seen]
+    at = int(np.argmin(bound))
+    return float(np.clip(above[seen][at] / share[seen][at], 0.01, 0.99))
+
+
+def calibrate(model: Model, x: np.ndarray | None, good: np.ndarray, every: np.ndarray | None = None, outputs: np.ndarray | None = None) -> None:
+    """A logistic fit on the model's outputs (of x, if they are not given) by Newton steps; only a rising one is kept.
+
+    good weighs each row as a positive, every as a row of all (1 if it is left out): with labels, good is the label; for positives and unlabelled rows,
+    the former weigh the prior in good and nothing in every, the latter the reverse. The risk, sum of every * softplus(z) - good * z, is convex.
+    """
+    f = model.raw(x) if outputs is None else outputs
+    every = np.ones(len(f)) if every is None else every
     a, b = 1.0, 0.0
     for _ in range(50):
         p = _sigmoid(a * f + b)
-        g = np.array([((p - good) * f).sum() + 1e-2 * a, (p - good).sum() + 1e-2 * b])
-        s = p * (1 - p)
+        e = every * p - good
+        g = np.array([(e * f).sum() + 1e-2 * a, e.sum() + 1e-2 * b])
+        s = every * p * (1 - p)
         h = np.array([[(s * f * f).sum() + 1e-2, (s * f).sum()], [(s * f).sum(), s.sum() + 1e-2]])
         step = np.linalg.solve(h, g)
         step *= min(1.0, 5.0 / max(1e-12, np.abs(step).max()))
@@ -174,47 +218,69 @@ def calibrate(model: Model, x: np.ndarray, good: np.ndarray) -> None:
         model.slope, model.shift = float(a), float(b)
 
 
-def _features(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of rows (text, quality), in an order that does not depend on the run."""
-    rows = rows.select("text", F.col("quality").cast("int").alias("quality"))
+def _features(rows: DataFrame) -> np.ndarray:
+    """Features of the texts of a bounded number of rows, in an order that does not depend on the run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [features(t.as_py()).tobytes() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), batch.column(1)], ["x", "quality"])
+            yield pa.RecordBatch.from_arrays([pa.array([features(t.as_py()).tobytes() for t in batch.column(0)], pa.binary())], ["x"])
 
-    found = rows.mapInArrow(run, "x binary, quality int").orderBy("x", "quality").collect()
-    x = np.frombuffer(b"".join(bytes(r.x) for r in found), np.float32).reshape(-1, FEATURES + SHAPES)
-    return x, np.array([-1 if r.quality is None else r.quality for r in found])
+    found = sorted(rows.select("text").mapInArrow(run, "x binary").toArrow().column("x").to_pylist())
+    return np.frombuffer(b"".join(found), np.float32).reshape(-1, FEATURES + SHAPES)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 8000) -> Model | None:
-    """Learns from docs (training rows only): about `sample` labelled and `sample` unlabelled whole documents.
+def fit_network(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 8000) -> tuple[Model, np.ndarray] | None:
+    """(model, features of positives that it did not learn from), from about `sample` positives and as many unlabelled documents of docs.
 
-    The prior is the share of good ones among labelled training rows; the labelled bad ones serve only for it and for the
-    last, monotone fit. None where no document is labelled good.
+    The network is fitted on these two bounded samples, whole texts each; a third of the positives is held back. None where no document is labelled good.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    of = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(F.max(label_col).alias("quality"))
+    good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("l_id")).where("l_id IS NOT NULL").distinct()
     # The labelled sample has a bound, so it may be sent to all tasks.
-    x, y = _features(rows.join(F.broadcast(sampled(of, sample, "l_id")), F.col("id") == F.col("l_id")))
-    if not (y == 1).any():
+    x = _features(rows.join(F.broadcast(sampled(good, sample, "l_id")), F.col("id") == F.col("l_id")))
+    if not len(x):
         return None
     # Unlabelled text: any training rows, whatever their label, which is not looked at.
-    u, _ = _features(sampled(rows, sample).withColumn("quality", F.lit(None).cast("int")))
-    prior = float(np.clip((y == 1).mean(), 0.05, 0.95))
-    model = fit_nnpu(x[y == 1], u, prior)
-    if (y == 0).any():
-        calibrate(model, x, (y == 1).astype(float))
+    u = _features(sampled(rows, sample))
+    held = np.arange(len(x)) % 3 == 2
+    own, rest = (x[~held], x[held]) if held.any() else (x, x)
+    half = np.arange(len(u)) % 2 == 0
+    apart = fit_apart(own, u[half])
+    other = apart.raw(u[~half]) if (~half).any() else apart.raw(u)
+    model = fit_nnpu(own, u, estimate_prior(apart.raw(rest), other, np.ones(len(other))))
+    return model, rest
+
+
+def settle(model: Model, held: np.ndarray, outputs: DataFrame) -> Model:
+    """The model with prior and probabilities by all unlabelled rows: outputs has one number, out, for each. They are counted by BUCKETS; only counts reach the driver."""
+    bucket = F.floor((F.tanh(F.col("out") / 4) + 1) / 2 * BUCKETS)
+    # Sums of whole numbers: their order makes no difference.
+    found = outputs.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), F.sum(F.round(F.col("out") * 1e6).cast("long")).alias("s")).collect()
+    found.sort()
+    counts = np.array([r.n for r in found], float)
+    centre = np.array([r.s / 1e6 / r.n for r in found])
+    own = model.raw(held)
+    if len(found):
+        model.prior = estimate_prior(own, centre, counts)
+        n = counts.sum()
+        good = np.concatenate([np.zeros(len(centre)), np.full(len(own), model.prior * n / len(own))])
+        every = np.concatenate([counts, np.zeros(len(own))])
+        calibrate(model, None, good, every, np.concatenate([centre, own]))
     return model
 
 
-def score(docs: DataFrame, model: Model | None, text_col: str = "text", name: str = "score") -> DataFrame:
-    """docs with a further column between 0 and 1, higher where good is likelier; all other columns pass as they are.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 8000) -> Model | None:
+    """Learns from docs (training rows only); see fit_network() and settle(). None where no document is labelled good.
 
-    Null texts are empty; empty texts are scored like any other. Repeated rows score alike. Without a model, every score is
-    0.5. A column that has the new one's name already is replaced. An empty table gives an empty result.
+    Labels may be null, repeated or of absent documents; ids that are null label nothing. Rows without a good label are unlabelled, and so are, for
+    the estimate, all rows. Null texts are empty. Other columns are not read.
     """
+    found = fit_network(docs, labels, id_col, text_col, label_col, sample)
+    return found and settle(*found, outputs(docs.select(text_of(text_col).alias("text")), found[0]))
+
+
+def _applied(docs: DataFrame, model: Model, text_col: str, name: str, use: Callable[[Model, np.ndarray], np.ndarray]) -> DataFrame:
+    """docs with a further double column that use makes of the features of the texts; one that has its name already is replaced."""
     docs = without(docs, name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
@@ -223,17 +289,44 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", name: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            if own is None or not len(batch):
-                found = np.full(len(batch), 0.5)
-            else:
-                found = own.score(np.stack([features(t.as_py() or "") for t in batch.column(at)]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, name])
+            # A few at a time: texts can be long.
+            found = [use(own, np.stack([features(t.as_py() or "") for t in batch.column(at).slice(s, 256)])) for s in range(0, len(batch), 256)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found) if found else np.empty(0), pa.float64())], [*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 
 
-def rate_documents(docs: DataFrame, train: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """One row per row of docs: id, score, predicted. A row's score depends on its text alone; repeated rows score alike."""
-    model = fit(train, labels, id_col, text_col)
-    out = score(docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")), model)
+def outputs(docs: DataFrame, model: Model, text_col: str = "text", name: str = "out") -> DataFrame:
+    """docs with the model's output, before it becomes a probability; see score()."""
+    return _applied(docs, model, text_col, name, lambda m, x: m.raw(x))
+
+
+def score(docs: DataFrame, model: Model | None, text_col: str = "text", name: str = "score") -> DataFrame:
+    """docs with a further column between 0 and 1, higher where good is likelier; all other columns pass as they are.
+
+    Null texts are empty; empty texts are scored like any other. Repeated rows score alike. Without a model, every score is
+    0.5. A column that has the new one's name already is replaced. An empty table gives an empty result.
+    """
+    if model is None:
+        return without(docs, name).withColumn(name, F.lit(0.5))
+    return _applied(docs, model, text_col, name, lambda m, x: m.score(x))
+
+
+def rate_documents(docs: DataFrame, train: Callable[[DataFrame], DataFrame] | DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """One row per row of docs: id, score, predicted. A row's score depends on its text alone; repeated rows and ties score alike.
+
+    train is the table to learn from, or a filter on rows of docs by `id`; the latter spares a second look at their texts. Null texts are empty, null ids are rows
+    like others without a label. Without a good label every score is 0.5. An empty table gives an empty result; other columns are not read.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    if isinstance(train, DataFrame):
+        model = fit(train, labels, id_col, text_col)
+        out = score(rows, model).drop("text")
+    elif (found := fit_network(train(rows), labels.withColumnRenamed(id_col, "id"), "id")) is None:
+        out = score(rows, None).drop("text")
+    else:
+        raw = Shared(docs.sparkSession, "quality").save(outputs(rows, found[0]).drop("text"), "outputs")
+        model = settle(*found, train(raw))
+        z = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), F.lit(model.slope) * F.col("out") + F.lit(model.shift)))
+        out = raw.withColumn("score", 1 / (1 + F.exp(-z)))
     return out.select("id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -71,8 +71,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all texts, learned where crc32 of the id modulo 4 is not 2."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality")
-    learn = crc_mod("doc_id", 4) != 2
-    out = rate_documents(docs, docs.where(learn), labels.where(learn))
+    out = rate_documents(docs, lambda rows: rows.where(crc_mod("id", 4) != 2), labels.where(crc_mod("doc_id", 4) != 2))
     return out.select(F.col("id").alias("doc_id"), (crc_mod("id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
