@@ -1,5 +1,6 @@
 import math
 import os
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -82,6 +83,11 @@ def test_sums_over_tasks():
         assert np.array_equal(a[:150_000], sum(p[0] for p in parts)) and np.array_equal(b[:150_000], sum(p[1] for p in parts))
 
 
+def test_model_travels():
+    m, n = model(), pickle.loads(pickle.dumps(model()))
+    assert n.bits == m.bits and np.array_equal(m.ones, n.ones) and np.array_equal(m.seen, n.seen) and np.array_equal(m.weights, n.weights) and np.array_equal(m.refined, n.refined)
+
+
 @pytest.mark.parametrize("x", [[], [0], [0, 255, 256, 2**40], [2**64 - 1, 0, 5]])
 def test_packed(x):
     data = M.packed(np.array(x, np.uint64))
