@@ -14,6 +14,8 @@ ROW = r"(?is)<tr\b[^>]*>.*?</tr>"
 ROW_INNER = r"(?is)<tr\b[^>]*>(.*?)</tr>"
 CELL_INNER = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"
 CELL_OPEN = r"(?i)<t[dh]\b[^>]*>"
+# A cell's opening tag, and what follows it up to the next closing tag, if there is one.
+CELL_PARTS = r"(?is)(<t[dh]\b[^>]*>)(?=(?:(.*?)</t[dh]>)?)"
 STYLE = r"""(?i)\s*style\s*=\s*["'][^"']*["']"""
 PIPE_TABLE = r"(?m)(?:^|\n)(\|.+\|\n\|[-:| ]+\|\n(?:\|.*\|\n?)*)"
 HEADER_HINT = "(구분|공정|가동율|계획|실적|수량|금액|달성율|진척율|양품|불량)"
@@ -88,15 +90,23 @@ def set_span(attrs: Column, name: str, value: Column) -> Column:
     return F.when(value <= 1, out).when(has, changed).otherwise(F.concat(attrs, F.lit(f' {name}="'), value.cast("string"), F.lit('"')))
 
 
-def structure_score(html: Column) -> Column:
-    """5 times the share of filled cells, and 3 if all rows have equally many columns; 0 for fewer than two rows."""
-    rows = extract_all(html, ROW_INNER)
-    cells = F.flatten(F.transform(rows, lambda r: extract_all(r, CELL_INNER)))
-    empty = F.size(F.filter(cells, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, TAG, " "), r"\s+", " ")) == ""))
-    columns = F.transform(rows, lambda r: F.aggregate(extract_all(r, CELL_OPEN, 0), F.lit(0), lambda a, t: a + span_of(t, "colspan")))
-    even = F.when(F.size(F.array_distinct(columns)) == 1, F.lit(3.0)).otherwise(0.0)
-    filled = F.greatest(F.lit(0.0), F.lit(5.0) * (1.0 - empty / F.nullif(F.size(cells), F.lit(0))))
-    return F.when((F.size(rows) < 2) | (F.size(cells) == 0), F.lit(0.0)).otherwise(filled + even)
+def structure_score(shapes: Column) -> Column:
+    """Of rows (cells, empty, columns): 5 times the share of filled cells, and 3 if all rows have equally many columns; 0 for fewer than two rows."""
+    total = lambda name: F.aggregate(shapes, F.lit(0), lambda a, r: a + r[name])
+    even = F.when(F.size(F.array_distinct(F.transform(shapes, lambda r: r.columns))) == 1, F.lit(3.0)).otherwise(0.0)
+    filled = F.greatest(F.lit(0.0), F.lit(5.0) * (1.0 - total("empty") / F.nullif(total("cells"), F.lit(0))))
+    return F.when((F.size(shapes) < 2) | (total("cells") == 0), F.lit(0.0)).otherwise(filled + even)
+
+
+def row_shape(row: Column) -> Column:
+    """(cells, empty, columns) of a row: how many cells it has, how many of them hold nothing but tags and white space, and how many columns they span."""
+    cells = extract_all(row, CELL_INNER)
+    shape = lambda c: F.struct(
+        F.size(c).alias("cells"),
+        F.size(F.filter(c, lambda x: ~F.regexp_replace(x, TAG, "").rlike(r"\S"))).alias("empty"),
+        F.aggregate(extract_all(row, CELL_OPEN, 0), F.lit(0), lambda a, t: a + span_of(t, "colspan")).alias("columns"),
+    )
+    return F.get(F.transform(F.array(cells), shape), F.lit(0))
 
 
 def table_score(html: Column, markdown: Column, text: Column) -> Column:
@@ -105,15 +115,11 @@ def table_score(html: Column, markdown: Column, text: Column) -> Column:
     first = F.when(html != "", html).when(markdown != "", markdown).otherwise(normalize_space(text))
     runs = F.regexp_count(normalize_space(F.regexp_replace(html, TAG, " ")), F.lit(TEXT_RUN))
     runs = runs + F.when((html == "") & (markdown != ""), F.regexp_count(markdown, F.lit(TEXT_RUN))).otherwise(0)
-    return (
-        F.regexp_count(html, F.lit(ROW_INNER)) * 2.0
-        + F.regexp_count(html, F.lit(CELL_INNER)) * 0.6
-        + F.regexp_count(first, F.lit(HEADER_HINT)) * 2.5
-        + runs * 0.2
-        + F.least(F.char_length(html), F.lit(4000)) / 400.0
-        + F.least(F.char_length(markdown), F.lit(2000)) / 500.0
-        + structure_score(html)
-    )
+    rest = F.regexp_count(html, F.lit(CELL_INNER)) * 0.6 + F.regexp_count(first, F.lit(HEADER_HINT)) * 2.5 + runs * 0.2
+    rest = rest + F.least(F.char_length(html), F.lit(4000)) / 400.0 + F.least(F.char_length(markdown), F.lit(2000)) / 500.0
+    # Rows are taken out once for their number and their shapes.
+    shapes = F.transform(extract_all(html, ROW_INNER), row_shape)
+    return F.get(F.transform(F.array(shapes), lambda rows: F.size(rows) * 2.0 + structure_score(rows)), F.lit(0)) + rest
 
 
 def table_cells(c: Column) -> Column:

@@ -143,16 +143,26 @@ def page_sizes(pages: DataFrame) -> DataFrame:
 
 
 def line_engine_blocks(pages: DataFrame) -> DataFrame:
-    """pages (doc_id, page_no, raw: JSON with rec_texts, rec_scores, dt_polys) -> text blocks; the three lists go side by side up to the end of the shortest."""
-    schema = "rec_texts array<string>, rec_scores array<double>, dt_polys array<array<array<double>>>"
-    parsed = pages.withColumn("j", F.from_json("raw", schema)).select("doc_id", "page_no", "j.*")
-    n = F.coalesce(F.least(*[F.size(c) for c in ("rec_texts", "rec_scores", "dt_polys")]), F.lit(0))
-    zipped = F.slice(F.arrays_zip("rec_texts", "rec_scores", "dt_polys"), F.lit(1), F.greatest(n, F.lit(0)))
-    rows = parsed.select("doc_id", "page_no", F.posexplode(zipped).alias("i", "z"))
+    """pages (doc_id, page_no, raw: JSON with rec_texts, rec_scores, dt_polys, or a list of such) -> text blocks; the three lists go side by side up to the end of the shortest.
+
+    What an object has under res or _res goes before what it has itself, and _res before res.
+    """
+    fields = "rec_texts: array<string>, rec_scores: array<double>, dt_polys: array<array<array<double>>>"
+    item = f"struct<{fields}, res: struct<{fields}>, _res: struct<{fields}>>"
+    raw = F.trim("raw")
+    items = F.when(raw.startswith("["), F.from_json(raw, f"array<{item}>")).otherwise(F.array(F.from_json(raw, item)))
+
+    def lines_of(x: Column) -> Column:
+        texts, scores, polygons = (F.coalesce(x["_res"][n], x["res"][n], x[n]) for n in ("rec_texts", "rec_scores", "dt_polys"))
+        n = F.least(*[F.coalesce(F.size(c), F.lit(0)) for c in (texts, scores, polygons)])
+        return F.transform(F.slice(texts, F.lit(1), F.greatest(n, F.lit(0))), lambda t, i: F.struct(t.alias("text"), F.get(scores, i).alias("score"), F.get(polygons, i).alias("polygon")))
+
+    found = F.flatten(F.transform(items, lambda x: F.coalesce(lines_of(x), F.array().cast("array<struct<text:string,score:double,polygon:array<array<double>>>>"))))
+    rows = pages.select("doc_id", "page_no", F.posexplode(found).alias("i", "z"))
     return rows.select(
         "doc_id", "page_no", (F.col("i") + 1).alias("block_ord"), F.concat(F.lit("p"), "page_no", F.lit("_t"), F.col("i") + 1).alias("block_id"), F.lit("text").alias("block_type"),
-        polygon_box(F.col("z.dt_polys")).alias("bbox"), normalize_space(F.col("z.rec_texts")).alias("text"), F.lit("").alias("html"), F.lit("").alias("markdown"),
-        F.coalesce("z.rec_scores", F.lit(0.75)).alias("confidence"), F.lit("paddle_ocr").alias("source_engine"),
+        polygon_box(F.col("z.polygon")).alias("bbox"), normalize_space(F.col("z.text")).alias("text"), F.lit("").alias("html"), F.lit("").alias("markdown"),
+        F.coalesce("z.score", F.lit(0.75)).alias("confidence"), F.lit("paddle_ocr").alias("source_engine"),
     )
 
 

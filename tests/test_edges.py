@@ -1,5 +1,6 @@
 """Hand-written cases: limits, ties, nulls, empty input."""
 
+import random
 from difflib import SequenceMatcher
 
 import pytest
@@ -50,7 +51,7 @@ def test_status(spark, value, status):
 
 
 def test_coverage(spark):
-    c = lambda a, b: one(spark, compare.coverage(F.col("a"), F.col("b")), a=a, b=b)
+    c = lambda a, b: one(spark, compare.coverage(X.tokens(F.col("a")), X.tokens(F.col("b"))), a=a, b=b)
     assert c("", "") == 1.0 and c("", "x") == 0.0 and c("x", "") == 0.0 and c("a b a", "b c") == 0.5
 
 
@@ -107,9 +108,11 @@ def test_html_to_pipe(html, out):
     ("<table><tr><td>a</td><td></td></tr><tr><td>b</td><td>c</td></tr></table>", "<table><tr><td>a</td><td></td></tr><tr><td>b</td><td>c</td></tr></table>"),
     ("<table><tr><td>a</td><td></td></tr><tr><td>b</td></tr></table>", "<table><tr><td>a</td></tr><tr><td>b</td></tr></table>"),
     ("plain", "plain"),
+    ('<table class="x"><thead><tr id="r"><th rowspan=4 class="k">a &amp; <b>b</b></th><td>c<td></tr></thead><tr><td colspan="2"> </td><td></td></tr></table> tail', '<table class="x"><tr><th rowspan=2 class="k">a &amp; b</th><td>c<td></td><td></td></tr><tr><td colspan="2"> </td><td></td></tr></table>'),
+    ("<table><tr><td>a</td><td>b</td><td></td><td></td></tr><tr><td></td><td></td><td> <br/></td></tr></table>", "<table><tr><td>a</td><td>b</td></tr><tr><td></td><td></td></tr></table>"),
 ])
-def test_repair(html, out):
-    assert tables.repair(html) == out
+def test_repair(spark, html, out):
+    assert spark.createDataFrame([(html,)], "html string").select(tables.repair_html_table("html").alias("t")).first().t == out
 
 
 def test_null_tables(spark):
@@ -231,3 +234,49 @@ def test_best_table(spark):
     page = {"a": {"html": "<table>1</table>"}, "b": {"md": "| a | b |\n|---|---|\n| 1 | 2 |\n"}}
     got = parsing.best_table(parsing.explode_objects(raw(spark, page, {}))).orderBy("page_no").collect()
     assert got[0].html.startswith("<table><thead>") and got[1].html == ""
+
+
+def test_line_engine_items(spark):
+    box = "[[0,0],[4,0],[4,2],[0,2]]"
+    plain = f'{{"rec_texts":["a","b"],"rec_scores":[0.5,null],"dt_polys":[{box},{box}]}}'
+    inner = f'{{"rec_texts":["old"],"res":{{"rec_texts":["c"],"rec_scores":[0.25]}},"_res":{{"dt_polys":[{box}]}}}}'
+    rows = [(1, 1, f"[{plain},{inner}]"), (2, 1, inner), (3, 1, '{"rec_texts":["x"]}'), (4, 1, "no json"), (5, 1, None), (6, 1, "[]")]
+    got = parsing.line_engine_blocks(spark.createDataFrame(rows, "doc_id int, page_no int, raw string")).orderBy("doc_id", "block_ord").collect()
+    assert [(r.doc_id, r.block_id, r.text, r.confidence) for r in got] == [(1, "p1_t1", "a", 0.5), (1, "p1_t2", "b", 0.75), (1, "p1_t3", "c", 0.25), (2, "p1_t1", "c", 0.25)]
+
+
+def whole_page(lines, blocks, with_source_only):
+    """What is reported of a page, rule by rule."""
+    ratio = lambda a, b: float(a == b) if not a or not b else SequenceMatcher(None, a, b).ratio()
+    at, used, out = 0, [], []
+    for b in blocks:
+        window = list(range(len(lines)))[at : at + 12] or list(range(len(lines)))
+        scores = [(ratio(lines[i], b["t"]), -i) for i in window]
+        best, i = max(scores, default=(0.0, 0))
+        if best > 0:
+            at, source = 1 - i, lines[-i]
+            used.append(-i)
+        else:
+            best, source = 0.0, ""
+        status = "extra_in_ocr" if not source else "match" if best >= 0.97 else "partial" if best >= 0.85 else "mismatch"
+        if b["review"] or status != "match":
+            out.append((status, b["block_id"], round(best, 9), source))
+    for i, line in enumerate(lines):
+        if with_source_only and i not in used and all(ratio(line, b["t"]) < 0.55 for b in blocks):
+            out.append(("missing_in_ocr", f"source_line_{len(out) + 1}", round(max((ratio(line, b["t"]) for b in blocks), default=0.0), 9), line))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_whole_pages_against_the_rules(seed):
+    rng = random.Random(seed)
+    words = ["alpha", "beta", "gamma", "delta", "계획", "실적", "10", "20"]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 30))]
+    blocks = []
+    for n in range(rng.randint(0, 25)):
+        t = rng.choice(lines) if lines and rng.random() < 0.7 else " ".join(rng.choice(words) for _ in range(3))
+        t = t.replace("a", "o", rng.choice([0, 0, 1, 3]))
+        blocks.append({"block_id": f"p1_b{n + 1}", "block_type": "text", "t": t, "review": rng.random() < 0.2, "review_reason": ["r"]})
+    for only in (True, False):
+        got = compare.match_page(lines, blocks, only)
+        assert [(x["status"], x["block_id"], round(x["similarity"], 9), x["source_text"]) for x in got] == whole_page(lines, blocks, only)
