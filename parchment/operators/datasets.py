@@ -33,13 +33,26 @@ def distinct_samples(samples: DataFrame, order: list[str], prefix: int = 200) ->
 def split_samples(samples: DataFrame, key: Column, ratio: float = 0.1, seed: str = "42") -> DataFrame:
     """samples with split: max(1, floor(n * ratio)) rows, those with the least hashes of seed and key, are val and the rest train.
 
-    The cut is found on hashes alone: a row's split then needs no global order of rows. Ties of keys fall on one side.
+    No task sorts all rows: hashes are counted by their leading digits, more of them while the cut falls among many rows, until it falls among at most
+    4096, of which only the hashes are looked at. Rows whose keys are equal to that at the cut are all val.
     """
-    hashed = samples.withColumn("_h", F.md5(F.concat(F.lit(seed), key.cast("string"))))
-    n = hashed.count()
-    take = max(1, int(n * ratio)) if n else 0
-    cut = hashed.select("_h").orderBy("_h").limit(take).agg(F.max("_h")).first()[0]
-    return hashed.withColumn("split", F.when(F.col("_h") <= F.lit(cut), "val").otherwise("train")).drop("_h")
+    hashed = samples.withColumn("_h", F.md5(F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit("")))))
+    hashes, found = hashed.select("_h"), ""
+    n = hashes.count()
+    left = max(1, int(n * ratio)) if n else 0
+    while left and len(found) < 32:
+        own = hashes.where(F.col("_h").startswith(found))
+        digits = sorted(own.groupBy(F.substring("_h", len(found) + 1, 2).alias("d")).agg(F.count("*").alias("n")).collect())
+        for r in digits:
+            if r.n >= left:
+                break
+            left -= r.n
+        found += r.d
+        if r.n <= 4096:
+            break
+    if left and len(found) < 32:
+        found = sorted(r._h for r in hashes.where(F.col("_h").startswith(found)).collect())[left - 1]
+    return hashed.withColumn("split", F.when(F.col("_h") <= F.lit(found), "val").otherwise("train")).drop("_h")
 
 
 def split_counts(samples: DataFrame) -> DataFrame:
@@ -52,7 +65,28 @@ def pubtab(tables: DataFrame) -> DataFrame:
     return rows.withColumn("structure", structure_tokens(F.col("html"))).withColumn("cells", cell_characters(F.col("html")))
 
 
-def pubtab_json(rows: DataFrame) -> DataFrame:
-    """(filename, structure, cells) -> one JSON text a row, as training tools read it."""
+def file_names(rows: DataFrame, order: list[str]) -> DataFrame:
+    """rows with filename, numbered from 0 in the given order within each range of rows; a range's first number is what stands before it.
+
+    Ranges are dealt out by order, so that no task numbers all rows; one count a range reaches the driver.
+    """
+    dealt = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    counts = {r._part: r.n for r in dealt.groupBy("_part").agg(F.count("*").alias("n")).collect()}
+    before, total = [], 0
+    for part in sorted(counts):
+        before += [F.lit(part), F.lit(total)]
+        total += counts[part]
+    start = F.element_at(F.create_map(*before), F.col("_part")) if before else F.lit(0)
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1 + start
+    return dealt.withColumn("filename", F.format_string("table_%04d.png", nth.cast("int"))).drop("_part")
+
+
+def structure_json() -> Column:
+    """One JSON text of (filename, structure, cells), as training tools read it."""
     cells = F.transform("cells", lambda c: F.struct(c.alias("tokens")))
-    return rows.select(F.to_json(F.struct("filename", F.struct(F.struct(F.col("structure").alias("tokens")).alias("structure"), cells.alias("cells")).alias("html"))).alias("value"))
+    return F.to_json(F.struct("filename", F.struct(F.struct(F.col("structure").alias("tokens")).alias("structure"), cells.alias("cells")).alias("html")))
+
+
+def pubtab_json(rows: DataFrame) -> DataFrame:
+    """(filename, structure, cells) -> one JSON text a row."""
+    return rows.select(structure_json().alias("value"))

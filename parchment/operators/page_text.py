@@ -89,3 +89,12 @@ def repair_from_words(blocks: DataFrame, words: DataFrame) -> DataFrame:
     done = shrink_spans(split_first_headers(rows, words), words)
     return done.withColumn("pdf_text_repaired", F.col("html") != F.col("before")).drop("before", "title", "anchor_y")
 
+
+
+def repair_blocks(blocks: DataFrame, words: DataFrame) -> DataFrame:
+    """blocks (…, bbox) with the HTML of tables as their pages' words repair it; all other columns and rows are as they were."""
+    key = ["doc_id", "page_no", "block_ord"]
+    corners = [F.get("bbox", F.lit(i)).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))]
+    boxed = blocks.select(*key, "block_type", "text", "html", *corners)
+    fixed = repair_from_words(boxed, words).where("pdf_text_repaired").select(*key, F.col("html").alias("_html"))
+    return blocks.join(fixed, key, "left").withColumn("html", F.coalesce("_html", "html")).select(blocks.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parchment.functions.text import count_numbers
+from parchment.functions.text import count_numbers, lines, or_empty
 
 # Words of table heads, marks of section titles, suffixes of images.
 TABLE_HEAD = "(구분|품목수|수량|금액|목표|실적|차이|달성율|진척율|매출비율|대상건수|준수건수|합계|계획)"
@@ -26,11 +26,11 @@ def text_layer(pages: DataFrame, sample: int = 3, more_than: int = 30) -> DataFr
     return out.withColumn("pdf_type", F.when(F.col("has_text_layer"), "text").otherwise("image"))
 
 
-def page_stats(lines: DataFrame) -> DataFrame:
+def page_stats(rows: DataFrame) -> DataFrame:
     """(doc_id, page_no, line): stripped lines, none empty (null for a page without) -> sums by page, and its table score."""
     line, hit = F.col("line"), lambda p: F.col("line").rlike(p).cast("int")
     n = count_numbers(line)
-    page = lines.groupBy("doc_id", "page_no").agg(
+    page = rows.groupBy("doc_id", "page_no").agg(
         F.count("line").alias("lines"),
         F.coalesce(F.sum(hit(TABLE_HEAD)), F.lit(0)).alias("heads"),
         F.coalesce(F.sum(hit(SECTION)), F.lit(0)).alias("titles"),
@@ -48,10 +48,10 @@ def routing_hint(layout: Column, has_text: Column) -> Column:
     return F.when(layout.isin("table_heavy", "mixed"), "prefer_paddle_vl").when(has_text, "prefer_paddle_ocr").otherwise("prefer_paddle_vl")
 
 
-def layout_profile(lines: DataFrame) -> DataFrame:
+def layout_profile(rows: DataFrame) -> DataFrame:
     """One row a document: layout, table pages, complexity, routing and the statistics behind them."""
     tables = F.col("is_table")
-    doc = page_stats(lines).groupBy("doc_id").agg(
+    doc = page_stats(rows).groupBy("doc_id").agg(
         F.count("*").alias("page_count"),
         (F.sum("hundredths") / (F.count("*") * 100)).alias("avg"),  # whole numbers: the sum has no order
         F.count_if(tables).alias("table_pages"),
@@ -84,6 +84,14 @@ def layout_profile(lines: DataFrame) -> DataFrame:
     )
 
 
+def profile(pages: DataFrame) -> DataFrame:
+    """pages (doc_id, page_no, source_text) of documents with a text layer -> their whole profiles: file type, text layer, layout and routing."""
+    text = pages.select("doc_id", "page_no", or_empty(F.col("source_text")).alias("text"))
+    split = text.select("doc_id", "page_no", F.explode_outer(lines(F.col("text"))).alias("line"))
+    layers = text_layer(text).drop("page_count")
+    return layout_profile(split).join(layers, "doc_id").withColumn("file_type", F.lit("pdf"))
+
+
 def select_engine(profiles: DataFrame, available: dict[str, bool], requested: str = "auto") -> DataFrame:
     """profiles with the engine for each document; null where the requested or any engine is missing.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Fixed schema of a saved result; what is not listed is not read.
@@ -17,6 +17,17 @@ def files(spark: SparkSession, paths: str | list[str], pattern: str = "*", conte
     return rows if content else rows.drop("content")
 
 
+def folders(root: str, prefix: str = "") -> str:
+    """A pattern for the folders under root whose names begin with the prefix, for any reader's paths."""
+    return f"{root.rstrip('/')}/{prefix}*"
+
+
+def crops(spark: SparkSession, path: str) -> DataFrame:
+    """(path, crop, crop_ord): images of tables in a folder, numbered in the order of their names."""
+    rows = files(spark, path, "*.png", content=False).select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("crop"), F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"))
+    return rows.withColumn("crop_ord", F.row_number().over(Window.partitionBy("folder").orderBy("crop"))).drop("folder")
+
+
 def whole_texts(spark: SparkSession, paths: str | list[str], pattern: str) -> DataFrame:
     """(path, value): each file's text whole."""
     rows = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(paths)

@@ -20,6 +20,12 @@ def save_documents(nested: DataFrame, path: str) -> None:
     nested.write.mode("overwrite").json(path)
 
 
+def save_pretty(nested: DataFrame, path: str) -> None:
+    """Indented JSON, a document after the other; letters beyond ASCII stay as they are."""
+    text = F.to_json(F.struct(*nested.columns), {"pretty": "true", "ignoreNullFields": "false"})
+    nested.select(text.alias("value")).write.mode("overwrite").text(path)
+
+
 def save_splits(samples: DataFrame, path: str) -> None:
     """JSON lines in a folder a split."""
     samples.write.mode("overwrite").partitionBy("split").json(path)

@@ -3,8 +3,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from parchment.plans.engine import Config, Engine, build, build_table_set, evaluate_tables, write
+from parchment.plans.engine import REGISTRY, Config, Engine, SavedLayout, build, build_table_set, evaluate_tables, write
 from parchment.sources import readers, writers
 
 
@@ -76,3 +77,75 @@ def test_inbox(spark, folder, tmp_path):
     for _ in range(2):
         watch(spark, folder, lambda df, i: seen.append(df.count()), str(tmp_path / "cp")).awaitTermination()
     assert sum(seen) == 4
+
+
+def test_whole_run_with_text_layer(spark, folder):
+    """Profiles route, words repair, comparisons go by the kind of document, and all of it is rendered."""
+    files = readers.files(spark, folder)
+    ids = build("paddle_vl").raw_pages(files).first().doc_id
+    layer = "1. Report\n구분 수량 금액 10 20\n합계 30 40\n구분 합계 1 2\n" * 3
+    sources = spark.createDataFrame([(ids, n, layer) for n in (1, 2)], "doc_id long, page_no int, source_text string")
+    words = spark.createDataFrame([(ids, 1, 1, 10.0, 60.0, 40.0, 70.0, "a")], "doc_id long, page_no int, word_ord int, x0 double, y0 double, x1 double, y1 double, token string")
+    new = "<table>" + "<tr><td>구분</td><td>수량</td></tr>" * 9 + "</table>"
+    candidates = spark.createDataFrame([(ids, 1, "p1_b2", 1, new, "", "", 0.99)], "doc_id long, page_no int, block_id string, candidate_ord int, html string, markdown string, text string, confidence double")
+    result = Engine(spark, Config(table_refine=True)).run(files, sources, candidates, words)
+    profile = result["profiles"].first()
+    assert (profile.layout_type, profile.has_text_layer, profile.routing_hint) == ("table_heavy", True, "prefer_paddle_vl")
+    assert [(r.page_no, r.status) for r in result["refine_report"].orderBy("page_no").collect()] == [(1, "replaced"), (2, "skipped")]
+    assert result["blocks"].where("page_no = 1 AND block_type = 'table'").first().html == new
+    pages = result["page_comparison"].orderBy("page_no").collect()
+    assert [p.source_kind for p in pages] == ["text_layer_pdf"] * 2 and all("<del>" in p.text_diff_html for p in pages) and 0 < pages[0].similarity < 0.85
+    html = result["comparison_html"].first().html
+    assert html.count('<section class="page">') == 2 and "similarity=" in html and "table_heavy" not in html
+
+
+def test_text_heavy_documents_are_matched_line_by_line(spark, folder, monkeypatch):
+    """And go to the engine for text, where engines can be chosen."""
+
+    class Layout(SavedLayout):
+        saved = False
+
+    class Lines(Layout):
+        name = "paddle_ocr"
+
+    monkeypatch.setitem(REGISTRY, "paddle_vl", Layout)
+    monkeypatch.setitem(REGISTRY, "paddle_ocr", Lines)
+    files = readers.files(spark, folder)
+    ids = build("paddle_vl").raw_pages(files).first().doc_id
+    prose = "Repord\nan entirely different line of prose that the engine never saw at all\n"
+    result = Engine(spark).run(files, spark.createDataFrame([(ids, 1, prose), (ids, 2, prose)], "doc_id long, page_no int, source_text string"))
+    assert result["profiles"].first().layout_type == "text_heavy" and result["documents"].first().engine_used == "paddle_ocr"
+    found = {(r.page_no, r.status) for r in result["mismatches"].collect()}
+    assert (1, "missing_in_ocr") in found
+    assert set(result["mismatches"].columns) >= {"block_id", "source_text", "ocr_text", "review_reason"}
+
+
+def test_written_results_are_read_again(spark, folder, tmp_path):
+    from parchment.plans.engine import build_structure_set, write_results
+
+    result = Engine(spark).run(readers.files(spark, folder))
+    write_results(result, str(tmp_path / "out"))
+    text = "".join(p.read_text() for p in (tmp_path / "out" / "result").glob("part-*"))
+    assert '\n  "pages"' in text or '"pages" : [' in text
+    blocks = result["blocks"].withColumns({"image": F.lit("i.png"), "source": F.lit("s")})
+    rows = build_structure_set(blocks).orderBy("filename").collect()
+    assert [r.filename for r in rows] == ["table_0000.png", "table_0001.png"] and {r.split for r in rows} == {"train", "val"} and '"tokens":["<tr>"' in rows[0].value
+
+
+def test_command_line(spark, folder, tmp_path, monkeypatch):
+    from parchment.__main__ import main
+
+    main(["run", folder, "--output", str(tmp_path / "o"), "--engine", "paddle_vl", "--disable-table-refine", "--no-html"])
+    assert spark.read.json(str(tmp_path / "o" / "blocks")).count() == 4 and not (tmp_path / "o" / "html").exists()
+    (tmp_path / "pairs.jsonl").write_text("".join(json.dumps({"sample_idx": i, "gt_html": "<table><tr><td>a</td></tr></table>", "pred_html": "<table><tr><td>a</td></tr></table>"}) + "\n\n" for i in range(3)))
+    main(["evaluate", str(tmp_path / "pairs.jsonl"), "--output", str(tmp_path / "e"), "--sample-idx", "1"])
+    assert spark.read.json(str(tmp_path / "e" / "samples")).count() == 1
+    with pytest.raises(SystemExit):
+        main([])
+
+
+def test_crops_in_order(spark, tmp_path):
+    for n in ("b.png", "a.png", "c.txt"):
+        (tmp_path / n).write_bytes(b"x")
+    assert [(r.crop, r.crop_ord) for r in readers.crops(spark, str(tmp_path)).orderBy("crop_ord").collect()] == [("a.png", 1), ("b.png", 2)]
+    assert readers.folders("/x/", "input") == "/x/input*"
