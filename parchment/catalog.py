@@ -136,14 +136,23 @@ def token_diff(spark, sf_dir):
     return compare.compare_table_heavy(S.text_pairs(spark, sf_dir)).select("doc_id", "text_diff_html")
 
 
-@query("""WITH o AS (SELECT o_custkey AS doc_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)::INT AS page_no FROM orders) SELECT doc_id, page_no, CASE WHEN page_no <= 2 THEN 'text ' || page_no ELSE '' END AS source_text, 'ocr' AS ocr_text, 'extra' AS kind FROM o WHERE page_no > 2
-    UNION ALL SELECT doc_id, page_no, 'text ' || page_no, 'ocr', 'both' FROM o WHERE page_no <= 2""")
+@query(f"WITH {S.SQL_ORDERS} SELECT doc_id, page_no, CASE WHEN page_no <= 2 THEN 'text ' || page_no ELSE '' END AS source_text FROM orders_")
 def pages_by_position(spark, sf_dir):
-    """Source pages join recognised pages by position; a page without one has empty source text."""
+    """Source pages join recognised pages by position, however either are numbered; a page without one has empty source text."""
     o = S.orders(spark, sf_dir).select("doc_id", "page_no")
-    source = o.where("page_no <= 2").select("doc_id", "page_no", F.concat(F.lit("text "), "page_no").alias("s"))
-    both = o.join(source, ["doc_id", "page_no"], "left")
-    return both.select("doc_id", "page_no", F.coalesce("s", F.lit("")).alias("source_text"), F.lit("ocr").alias("ocr_text"), F.when(F.col("s").isNull(), "extra").otherwise("both").alias("kind"))
+    source = o.where("page_no <= 2").select("doc_id", (F.col("page_no") * 10).alias("page_no"), F.concat(F.lit("text "), "page_no").alias("source_text"))
+    return compare.pair_pages(o, source)
+
+
+@query(f"""WITH {S.SQL_LINES}, p AS (SELECT doc_id, page_no, string_agg(line, chr(10) ORDER BY line_ord) AS t FROM page_lines GROUP BY doc_id, page_no), d AS (SELECT doc_id, sum(len(t)) FILTER (page_no <= 3) > 30 AS has_text_layer FROM p GROUP BY doc_id),
+    l AS (SELECT doc_id, page_no, line AS x FROM page_lines), g AS (SELECT doc_id, page_no, count(*) AS n, sum(regexp_matches(x, '{_HEAD}')::INT) * 45 + sum((len(regexp_extract_all(x, '{_NUM}')) >= 2)::INT) * 12 + sum((len(x) <= 12)::INT) * 3 + sum(regexp_matches(x, '^(?:\\d+\\.\\s*|[■☑#])')::INT) * 10 AS h FROM l GROUP BY ALL),
+    k AS (SELECT doc_id, CASE WHEN count(*) FILTER (h >= 180) / count(*) >= 0.6 OR sum(h) / (count(*) * 100) >= 2.2 THEN 'table_heavy' WHEN sum(h) / (count(*) * 100) >= 1.2 OR count(*) FILTER (h >= 180) > 0 THEN 'mixed' ELSE 'text_heavy' END AS layout_type FROM g GROUP BY doc_id)
+    SELECT doc_id, coalesce(has_text_layer, false) AS has_text_layer, CASE WHEN has_text_layer THEN 'text' ELSE 'image' END AS pdf_type, 'pdf' AS file_type, layout_type FROM d JOIN k USING (doc_id)""")
+def document_profile(spark, sf_dir):
+    """Whole profiles out of the pages' texts."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_ord", "line"))), lambda x: x.line), "\n")
+    pages = S.page_lines(spark, sf_dir).groupBy("doc_id", "page_no").agg(text.alias("source_text"))
+    return profiling.profile(pages).select("doc_id", "has_text_layer", "pdf_type", "file_type", "layout_type")
 
 
 @query()
@@ -177,6 +186,18 @@ def html_to_pipe(spark, sf_dir):
     return S.order_tables(spark, sf_dir).select("orderkey", tables.html_table_to_markdown("html").alias("markdown"))
 
 
+@query(f"""WITH {S.SQL_TABLES}, r AS (SELECT orderkey, n, count(*) OVER (PARTITION BY orderkey) + 1 - n AS below, partkey, quantity, price FROM rows_)
+    SELECT orderkey, '<table id="t"><tr><th colspan="2">품목</th><th>수량 &amp;</th></tr>' || string_agg('<tr>' || CASE WHEN n % 2 = 1 THEN CASE WHEN below >= 3 THEN '<td class="a" rowspan="3"><b>' || partkey || '</b> &lt;' WHEN below = 2 THEN '<td class="a" rowspan="2">' || partkey || '  &lt;' ELSE '<td class="a">' || partkey || '  &lt;' END || '</td>' ELSE '' END || '<td>' || quantity || '</td><td>' || price || '</td>' || CASE WHEN n % 5 = 0 THEN CASE WHEN n % 2 = 0 THEN '<td></td>' ELSE '' END ELSE '' END || '</tr>', '' ORDER BY n) || '</table>' AS html FROM r GROUP BY orderkey""")
+def repair_nested_spans(spark, sf_dir):
+    """Spans that overlap, run past the last row or not, in cells with tags, entities and attributes; empty cells at some rows' ends; rows in a body."""
+    o = S.orders(spark, sf_dir).join(S.items(spark, sf_dir), "orderkey")
+    first = F.when(F.col("n") % 2 == 1, F.concat(F.lit('<td class="a" rowspan="3"><b>'), "partkey", F.lit("</b> &lt;</td>"))).otherwise("")
+    row = F.concat(F.lit("<tr x>"), first, F.lit("<td>"), "quantity", F.lit("</td>"), F.lit("<td>"), "price", F.lit("</td>"), F.when(F.col("n") % 5 == 0, "<td></td><td> </td>").otherwise(""), F.lit("</tr>"))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", row.alias("row")))), lambda x: x.row), "\n")
+    t = o.groupBy("orderkey").agg(F.concat(F.lit('before <table id="t"><thead><tr><th colspan="2">품목</th><th>수량 &amp;</th></tr></thead><tbody>'), rows, F.lit("</tbody></table> after")).alias("html"))
+    return t.select("orderkey", tables.repair_html_table("html").alias("html"))
+
+
 @query(f"""WITH {S.SQL_TABLES} SELECT orderkey, '<table border="1" style="w:1"><tr><th>품목</th><th>수량</th><th>금액</th></tr>' || string_agg('<tr><td>item' || partkey || '</td><td style="color:red">' || quantity || '</td><td>' || price || '</td></tr>', '' ORDER BY n) || '</table>' AS html FROM rows_ GROUP BY orderkey""")
 def repair_spans(spark, sf_dir):
     return S.order_tables(spark, sf_dir).select("orderkey", tables.repair_html_table("html").alias("html"))
@@ -211,7 +232,10 @@ def pubtab_sizes(spark, sf_dir):
     return datasets.pubtab(S.order_tables(spark, sf_dir)).select("orderkey", F.size("structure").cast("long").alias("n_tokens"), F.size("cells").cast("long").alias("n_cells"))
 
 
-@query()
+@query(f"""WITH {S.SQL_TABLES}, c AS (SELECT orderkey, n, n = max(n) OVER (PARTITION BY orderkey) AS last, ['item' || partkey, quantity, price] || CASE WHEN n % 3 = 0 THEN ['', ''] ELSE [] END AS t FROM rows_),
+    u AS (SELECT orderkey, n, ['<tr>'] || flatten(list_transform(t, lambda x, i: CASE WHEN i = 1 AND last THEN ['<td>', '<rowspan=9>', '</rowspan>', '</td>'] ELSE ['<td>', '</td>'] END)) || ['</tr>'] AS s, list_transform(t, lambda x: '{{"tokens":' || to_json(regexp_extract_all(x, '.'))::VARCHAR || '}}') AS k FROM c),
+    a AS (SELECT orderkey, flatten(list(s ORDER BY n)) AS s, flatten(list(k ORDER BY n)) AS k FROM u GROUP BY orderkey)
+    SELECT '{{"filename":"table_' || orderkey || '.png","html":{{"structure":{{"tokens":' || to_json(['<tr>', '<th>', '</th>', '<th>', '</th>', '<th>', '</th>', '</tr>'] || s)::VARCHAR || '}},"cells":[' || array_to_string(['{{"tokens":["품","목"]}}', '{{"tokens":["수","량"]}}', '{{"tokens":["금","액"]}}'] || k, ',') || ']}}}}' AS value FROM a""")
 def pubtab_json(spark, sf_dir):
     t = datasets.pubtab(S.order_tables(spark, sf_dir)).withColumn("filename", F.format_string("table_%d.png", "orderkey"))
     return datasets.pubtab_json(t)
@@ -244,7 +268,19 @@ def line_engine_blocks(spark, sf_dir):
     return b.select("doc_id", "page_no", "block_id", "text", F.round("confidence", 6).alias("confidence"), *[F.get("bbox", F.lit(i)).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])
 
 
-@query()
+_TITLE = r"^(#{1,6}\s+|[■☑]\s*|\d+\.\s*)"
+_LAYOUT = rf"""found AS (SELECT page_id, list_transform(list_transform(regexp_extract_all(html, '(?s)<h1\b[^>]*>(.*?)</h1>', 1), lambda x: regexp_replace(x, '<[^>]+>', '', 'g')), lambda x, i: {{'k': 'doc_title', 'x': x, 'i': i - 1}})
+    || list_transform(list_transform(regexp_extract_all(html, '(?s)<p\b[^>]*>(.*?)</p>', 1), lambda x: regexp_replace(x, '<[^>]+>', '', 'g')), lambda x, i: {{'k': 'text', 'x': x, 'i': i - 1}})
+    || list_transform(list_transform(regexp_extract_all(html, '(?s)<li\b[^>]*>(.*?)</li>', 1), lambda x: regexp_replace(x, '<[^>]+>', '', 'g')), lambda x, i: {{'k': 'text', 'x': x, 'i': i - 1}}) AS b FROM pages),
+each AS (SELECT page_id, unnest(b) AS e, unnest(range(len(b))) AS ord_ FROM found),
+node AS (SELECT page_id, ord_, e.k AS raw_type, trim(regexp_replace(e.x, '\s+', ' ', 'g')) AS text, '' AS html, 0.5::DOUBLE + (e.i % 4) * 0.1::DOUBLE AS confidence, e.i || '.0,' || 2 * e.i || '.0,' || (e.i + 50) || '.0,' || (2 * e.i + 10) || '.0' AS bbox FROM each
+    UNION ALL SELECT page_id, 1000000 + t, CASE WHEN t % 2 = 0 THEN 'table' ELSE 'text' END, CASE WHEN t % 2 = 0 THEN '' ELSE 'inner' END, CASE WHEN t % 2 = 0 THEN '<table><tr><td>a</td></tr><tr><td>b</td></tr></table>' ELSE '' END, CASE WHEN t % 2 = 0 THEN 0.8 ELSE 1.0 END, '0.0,0.0,10.0,10.0' FROM pages, range(4) r(t)),
+ordered AS (SELECT page_id AS doc_id, row_number() OVER (PARTITION BY page_id ORDER BY ord_)::INT AS block_ord, raw_type, text, html, confidence, bbox, CASE WHEN html <> '' THEN 'table' WHEN raw_type = 'doc_title' OR regexp_matches(text, '{_TITLE}') THEN 'title' ELSE 'text' END AS block_type FROM node WHERE text <> '' OR html <> ''),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY doc_id, block_type, text[1:200], bbox ORDER BY block_ord) AS r FROM ordered),
+layout AS (SELECT doc_id, 1 AS page_no, block_ord, 'p1_b' || block_ord AS block_id, block_type, bbox, text, html, '' AS markdown, confidence, raw_type, 'paddle_vl' AS source_engine FROM firsts WHERE r = 1)"""
+
+
+@query(f"WITH {_LAYOUT} SELECT * FROM layout")
 def layout_engine_blocks(spark, sf_dir):
     b = parsing.classify(parsing.explode_objects(S.page_json(spark, sf_dir)))
     return b.withColumn("bbox", F.array_join(F.col("bbox").cast("array<string>"), ","))
@@ -260,13 +296,28 @@ def _md(spark, sf_dir):
     return parsing.markdown_blocks(S.page_json(spark, sf_dir).withColumns({"width": F.lit(600), "height": F.lit(800)}))
 
 
-@query()
+_MARKDOWN = rf"""part AS (SELECT page_id, regexp_split_to_array('# ' || array_to_string(list_transform(regexp_extract_all(html, '(?s)<h1\b[^>]*>(.*?)</h1>', 1), lambda x: regexp_replace(x, '<[^>]+>', '', 'g')), ' ') || chr(10) || chr(10)
+    || array_to_string(list_transform(regexp_extract_all(html, '(?s)<p\b[^>]*>(.*?)</p>', 1), lambda x: regexp_replace(x, '<[^>]+>', '', 'g')), chr(10) || chr(10)), '\n\s*\n+') AS p FROM pages),
+kept AS (SELECT page_id, list_filter(list_transform(p, lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS p FROM part),
+para AS (SELECT page_id, unnest(range(1, len(p) + 1)) AS i, unnest(p) AS raw, unnest(list_concat(p[2:], [''])) AS following FROM kept
+    UNION ALL SELECT page_id, 2000000, 'after', '' FROM pages),
+line AS (SELECT *, trim(regexp_replace(regexp_replace(raw, '^(?:#{{1,6}}\s*|[■☑]\s*|\d+\.\s*)', ''), '\s+', ' ', 'g')) AS text, trim(regexp_replace(raw, '\s+', ' ', 'g')) AS norm FROM para),
+md_ AS (SELECT page_id, i, CASE WHEN raw LIKE '#%' OR (NOT contains(raw, chr(10)) AND (regexp_matches(norm, '{_TITLE}') OR (len(norm) <= 40 AND (contains(lower(following), '<table') OR contains(following, '|')) AND (len(regexp_extract_all(norm, '{_NUM}')) <= 1 OR norm LIKE '%:')))) THEN 'title' ELSE 'text' END AS block_type, text, '' AS html, raw AS markdown, 0.82::DOUBLE AS confidence FROM line WHERE text <> ''
+    UNION ALL SELECT page_id, 1000000, 'table', '', '<table><thead><tr><th>a</th><th>b</th></tr></thead><tbody><tr><td>1</td><td>2</td></tr></tbody></table>', '| a | b |' || chr(10) || '|---|---|' || chr(10) || '| 1 | 2 |', 0.88 FROM pages),
+md AS (SELECT page_id AS doc_id, 1 AS page_no, row_number() OVER (PARTITION BY page_id ORDER BY i)::INT AS block_ord, 'p1_md' || row_number() OVER (PARTITION BY page_id ORDER BY i) AS block_id, block_type, text, html, markdown, confidence, '' AS raw_type, 'paddle_vl_markdown_fallback' AS source_engine FROM md_)"""
+
+
+@query(f"WITH {_MARKDOWN} SELECT * FROM md")
 def markdown_blocks(spark, sf_dir):
     return _md(spark, sf_dir).drop("bbox")
 
 
-@query()
+@query(f"""WITH {_LAYOUT}, {_MARKDOWN}, own AS (SELECT * EXCLUDE (bbox) FROM layout WHERE doc_id % 2 = 0 OR block_type = 'table'),
+    flags AS (SELECT doc_id, bool_or(block_type = 'table') AS has_table, bool_or(block_type <> 'table') AS has_text, bool_or(block_type = 'title') AS has_title FROM own GROUP BY doc_id)
+    SELECT * FROM own UNION ALL BY NAME SELECT md.* REPLACE (block_ord + 1000000 AS block_ord) FROM md JOIN flags USING (doc_id)
+    WHERE (block_type = 'table' AND NOT has_table) OR (block_type <> 'table' AND NOT has_text) OR (block_type = 'title' AND NOT has_title)""")
 def merged_blocks(spark, sf_dir):
+    """Blocks of both ways; every second page's own blocks are tables alone, so that its markdown adds the rest."""
     own = parsing.classify(parsing.explode_objects(S.page_json(spark, sf_dir))).where("doc_id % 2 = 0 OR block_type = 'table'")
     return parsing.merge_markdown(own, _md(spark, sf_dir)).drop("bbox")
 
@@ -301,9 +352,12 @@ def title_anchors(spark, sf_dir):
     return geometry.title_anchors(titles, S.words(spark, sf_dir)).withColumn("title", F.lit("Order"))
 
 
-@query(f"""WITH {S.SQL_BOXES}, t AS (SELECT b.*, mx, my, x1 - x0 >= mx * 0.8::DOUBLE AND y1 - y0 >= my * 0.8::DOUBLE AS f FROM boxes b JOIN (SELECT doc_id, page_no, max(x1) AS mx, max(y1) AS my FROM words GROUP BY ALL) e USING (doc_id, page_no)), k AS (SELECT doc_id, page_no, CASE WHEN f THEN 0 ELSE x0 END AS a0, CASE WHEN f THEN 28 ELSE y0 END AS b0, CASE WHEN f THEN least(mx, 420) ELSE x0 + least((x1 - x0) * 0.15, 220) END AS a1, CASE WHEN f THEN least(my, 138) ELSE y0 + least((y1 - y0) * 0.18, 120) END AS b1 FROM t),
+_CORNER = S.SQL_BOXES + """, t AS (SELECT b.*, mx, my, x1 - x0 >= mx * 0.8::DOUBLE AND y1 - y0 >= my * 0.8::DOUBLE AS f FROM boxes b JOIN (SELECT doc_id, page_no, max(x1) AS mx, max(y1) AS my FROM words GROUP BY ALL) e USING (doc_id, page_no)), k AS (SELECT doc_id, page_no, CASE WHEN f THEN 0 ELSE x0 END AS a0, CASE WHEN f THEN 28 ELSE y0 END AS b0, CASE WHEN f THEN least(mx, 420) ELSE x0 + least((x1 - x0) * 0.15, 220) END AS a1, CASE WHEN f THEN least(my, 138) ELSE y0 + least((y1 - y0) * 0.18, 120) END AS b1 FROM t),
     h AS (SELECT k.doc_id, k.page_no, token, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy, word_ord FROM k JOIN words w ON k.doc_id = w.doc_id AND k.page_no = w.page_no AND (x0 + x1) / 2 BETWEEN a0 AND a1 AND (y0 + y1) / 2 BETWEEN b0 AND b1),
-    d AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_no, token ORDER BY cx, cy, word_ord) AS r FROM h) SELECT k.doc_id, k.page_no, coalesce(string_agg(token, ',' ORDER BY cx, cy, word_ord), '') AS words FROM k LEFT JOIN (SELECT * FROM d WHERE r = 1) d ON k.doc_id = d.doc_id AND k.page_no = d.page_no GROUP BY k.doc_id, k.page_no""")
+    d AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_no, token ORDER BY cx, cy, word_ord) AS r FROM h)"""
+
+
+@query(f"WITH {_CORNER} SELECT k.doc_id, k.page_no, coalesce(string_agg(token, ',' ORDER BY cx, cy, word_ord), '') AS words FROM k LEFT JOIN (SELECT * FROM d WHERE r = 1) d ON k.doc_id = d.doc_id AND k.page_no = d.page_no GROUP BY k.doc_id, k.page_no")
 def top_left_words(spark, sf_dir):
     t = S.table_boxes(spark, sf_dir).withColumn("anchor_y", F.lit(20.0))
     return geometry.top_left_words(t, S.words(spark, sf_dir)).select("doc_id", "page_no", F.array_join("words", ",").alias("words"))
@@ -377,27 +431,45 @@ def render_markdown(spark, sf_dir):
     return render.render_markdown(*_result(spark, sf_dir))
 
 
-@query()
+_DIV = "'<div class=\"ocr-block' || CASE WHEN {0} THEN ' diff' ELSE '' END || '\" id=\"' || block_id || '\"><div class=\"label\"><span>' || block_type || ' / ' || block_id || '</span><span>conf=' || printf('%.3f', confidence) || '</span></div>' || CASE WHEN html <> '' THEN html WHEN block_type = 'title' THEN '<h4>' || text || '</h4>' ELSE '<div>' || text || '</div>' END || '</div>'"
+
+
+@query(f"""WITH {S.SQL_BLOCKS}, b AS (SELECT doc_id, page_no, string_agg({_DIV.format("review")}, chr(10) ORDER BY block_ord) AS body FROM final_blocks GROUP BY ALL),
+    p AS (SELECT f.doc_id, f.page_no, '<section class="page"><h2>Page ' || f.page_no || '</h2>' || coalesce(body, '') || '</section>' AS o FROM final_pages f LEFT JOIN b ON f.doc_id = b.doc_id AND f.page_no = b.page_no)
+    SELECT doc_id, '<!doctype html><html><head><meta charset="utf-8"><title>doc' || doc_id || '.pdf</title></head><body><h1>doc' || doc_id || '.pdf</h1>' || string_agg(o, chr(10) ORDER BY page_no) || '</body></html>' AS html FROM p GROUP BY doc_id""")
 def render_html(spark, sf_dir):
     return render.render_html(*_result(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH {_VISUAL}, f AS (SELECT *, array_to_string(list_sort(reasons || CASE WHEN confidence < 0.75 THEN ['low_confidence'] ELSE [] END), ', ') AS why FROM final_blocks WHERE review OR confidence < 0.75),
+    n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_no ORDER BY block_id) AS nth, count(*) OVER (PARTITION BY doc_id, page_no) AS n FROM f),
+    i AS (SELECT doc_id, page_no, max(n) AS n, string_agg('<div class="block"><p><strong>' || block_id || '</strong> / ' || block_type || ' / status=needs_review / similarity=' || printf('%.3f', greatest(0, least(1, confidence))) || '</p>' || CASE WHEN why <> '' THEN '<p>reason: ' || why || '</p>' ELSE '' END || CASE WHEN text <> '' THEN '<p>ocr: ' || text || '</p>' ELSE '' END || '</div>', chr(10) ORDER BY nth) AS items FROM n WHERE nth <= 40 GROUP BY ALL),
+    b AS (SELECT doc_id, page_no, string_agg({_DIV.format("review OR confidence < 0.75")}, chr(10) ORDER BY block_ord) AS body FROM final_blocks GROUP BY ALL),
+    t AS (SELECT doc_id, page_no, string_agg(CASE WHEN text <> '' THEN text END, chr(10) ORDER BY block_ord) AS t FROM final_blocks GROUP BY ALL),
+    p AS (SELECT v.*, coalesce(i.n, 0) AS n, items, coalesce(body, '<p>no blocks</p>') AS body, coalesce(t, '') AS ocr, trim(replace(coalesce(t, ''), chr(10), ' ')) AS flat FROM vp v LEFT JOIN i USING (doc_id, page_no) LEFT JOIN b USING (doc_id, page_no) LEFT JOIN t USING (doc_id, page_no)),
+    o AS (SELECT *, CASE WHEN n > 0 THEN ' warn' ELSE '' END AS warn FROM p),
+    h AS (SELECT doc_id, page_no, '<section class="page"><h2>Page ' || page_no || '</h2><div class="meta"><span class="badge">visual_only</span><span class="badge' || warn || '">similarity=' || printf('%.3f', similarity) || '</span><span class="badge' || warn || '">' || status || '</span><span class="badge' || warn || '">mismatches=' || n || '</span></div><div class="stats"><span class="badge">source_chars=0</span><span class="badge">ocr_chars=' || len(ocr)
+        || '</span></div><div class="page-compare"><div class="page-viewer"><p>no image</p></div><div class="page-viewer"><div class="ocr-page">' || body || '</div></div></div><div class="panel"><p>no text layer: blocks to look at only</p></div><div class="grid"><div class="text-preview"></div><div class="text-preview">' || CASE WHEN len(flat) <= 4000 THEN flat ELSE flat[1:3997] || '...' END || '</div></div>'
+        || CASE WHEN n > 0 THEN '<div class="blocks">' || items || CASE WHEN n > 40 THEN '<p class="hint">40 of ' || n || ' shown</p>' ELSE '' END || '</div>' ELSE '' END || '</section>' AS o FROM o),
+    d AS (SELECT doc_id, round(avg(similarity), 6) AS s FROM vp GROUP BY doc_id), g AS (SELECT *, CASE WHEN s >= 0.97 THEN 'match' WHEN s >= 0.85 THEN 'partial' ELSE 'attention_required' END AS st, CASE WHEN s >= 0.97 THEN '' WHEN s >= 0.85 THEN ' warn' ELSE ' bad' END AS tone FROM d)
+    SELECT doc_id, '<!doctype html><html><head><meta charset="utf-8" /><title>doc' || doc_id || '.pdf comparison</title></head><body><section class="summary"><h1>doc' || doc_id || '.pdf</h1><div class="meta"><span class="badge' || any_value(tone) || '">overall_similarity=' || printf('%.3f', any_value(s) + 1e-9) || '</span><span class="badge' || any_value(tone) || '">' || any_value(st) || '</span></div></section>' || string_agg(o, chr(10) ORDER BY page_no) || '</body></html>' AS html FROM h JOIN g USING (doc_id) GROUP BY doc_id""")
 def render_comparison(spark, sf_dir):
+    """The comparison of documents without a text layer: their pages, marked blocks and what to look at."""
     docs, pages, blocks = _result(spark, sf_dir)
-    pages = compare.compare_visual(pages.select("doc_id", "page_no"), blocks).withColumn("text_diff_html", F.lit(""))
-    docs = docs.join(compare.summarize(pages), "doc_id")
-    found = compare.visual_review(blocks).withColumns({"source_text": F.lit(""), "ocr_text": F.col("text")})
-    return render.render_comparison(docs, pages, found)
+    pages, found = compare.compare_documents(pages.select("doc_id", "page_no"), blocks)
+    docs = docs.join(compare.summarize(pages), "doc_id").withColumn("overall_similarity", F.round("overall_similarity", 6))
+    docs = docs.withColumn("summary_status", compare.summary_status(F.col("overall_similarity")))
+    return render.render_comparison(docs, pages, found, blocks)
 
 
-@query(f"WITH {S.SQL_TABLES} SELECT orderkey, CASE WHEN orderkey % 4 = 0 THEN 'skipped' WHEN orderkey % 4 = 1 THEN 'replaced' ELSE 'kept' END AS status, CASE WHEN orderkey % 4 = 0 THEN 'no_candidate' END AS reason FROM tables WHERE page_no > 0")
+@query(f"WITH {S.SQL_TABLES} SELECT orderkey, CASE WHEN orderkey % 4 = 0 THEN 'skipped' WHEN orderkey % 4 = 1 THEN 'replaced' ELSE 'kept' END AS status, CASE WHEN orderkey % 4 = 0 THEN 'no_candidate' END AS reason, CASE WHEN orderkey % 4 = 1 THEN replace(html, '</table>', '<tr><td>a</td><td>b</td><td>c</td></tr></table>') ELSE html END AS html, CASE WHEN orderkey % 4 = 1 AND orderkey % 8 <> 1 THEN 'new text' ELSE 'old text' END AS text, CASE WHEN orderkey % 4 = 1 THEN 0.85 ELSE 0.8 END::DOUBLE AS confidence FROM tables")
 def refine_tables(spark, sf_dir):
-    """Candidates hold a further row for some tables and are equal for others."""
-    t = S.order_tables(spark, sf_dir).withColumns({"block_ord": F.lit(1), "text": F.lit(""), "confidence": F.lit(0.8), "markdown": F.lit("")})
+    """Candidates hold a further row for some tables and are equal for others; some have no text of their own."""
+    t = S.order_tables(spark, sf_dir).withColumns({"block_ord": F.lit(1), "text": F.lit("old text"), "confidence": F.lit(0.8), "markdown": F.lit("")})
     more = F.replace("html", F.lit("</table>"), F.lit("<tr><td>a</td><td>b</td><td>c</td></tr></table>"))
-    c = t.where("orderkey % 4 <> 0").select("orderkey", F.lit(1).alias("candidate_ord"), F.when(F.col("orderkey") % 4 == 1, more).otherwise(F.col("html")).alias("html"), "markdown", "text", F.lit(0.85).alias("confidence"))
-    return tables.refine(t, c, ["orderkey"]).select("orderkey", "status", "reason")
+    text = F.when(F.col("orderkey") % 8 == 1, "").otherwise("new text")
+    c = t.where("orderkey % 4 <> 0").select("orderkey", F.lit(1).alias("candidate_ord"), F.when(F.col("orderkey") % 4 == 1, more).otherwise(F.col("html")).alias("html"), "markdown", text.alias("text"), F.lit(0.85).alias("confidence"))
+    return tables.refine(t, c, ["orderkey"]).select("orderkey", "status", "reason", "html", "text", "confidence")
 
 
 @query("SELECT page_id AS doc_id, 1 AS page_no, '<table><tr><td>a</td></tr><tr><td>b</td></tr></table>' AS html FROM pages")
@@ -411,11 +483,27 @@ def text_samples(spark, sf_dir):
     return datasets.text_samples(b).select(F.col("source").cast("long").alias("doc_id"), "page", "block_id", "response")
 
 
-@query(f"WITH {S.SQL_BLOCKS} SELECT doc_id, page_no, block_id, round(CASE WHEN text = '7 7 7' THEN 0.0 ELSE 1.0 END::DOUBLE, 6) AS source_coverage FROM final_blocks WHERE review AND text <> ''")
+@query(f"""WITH {S.SQL_BLOCKS}, b AS (SELECT *, list_distinct(string_split(text, ' ')) AS t FROM final_blocks WHERE text <> ''), g AS (SELECT doc_id, page_no, list_distinct(flatten(list(t))) AS o, CASE WHEN page_no % 3 = 0 THEN ['item'] ELSE ['item', '7', 'extra'] END AS s FROM b GROUP BY doc_id, page_no)
+    SELECT doc_id, page_no, block_id, 1.0::DOUBLE AS similarity, 'match' AS status, array_to_string(reasons, ',') AS reasons, round(len(list_intersect(t, s)) / len(t), 6) AS source_coverage FROM b JOIN g USING (doc_id, page_no) WHERE review AND len(list_intersect(s, o)) / len(s) < 0.95""")
 def covered_blocks(spark, sf_dir):
-    """Flagged blocks of table-heavy pages, with the share of their tokens in a source that lacks the number 7."""
-    b = quality.score_blocks(S.blocks(spark, sf_dir)).withColumn("source_text", F.when(F.col("text") == "7 7 7", "8").otherwise(F.concat(F.col("text"), F.lit(" more"))))
-    return compare.covered_blocks(b).select("doc_id", "page_no", "block_id", F.round("source_coverage", 6).alias("source_coverage"))
+    """Flagged blocks of table-heavy pages whose sources are unlike them; every third page's source is one word that most pages have."""
+    b = quality.score_blocks(S.blocks(spark, sf_dir))
+    source = F.when(F.col("page_no") % 3 == 0, "item").otherwise("item 7 extra")
+    pages = compare.compare_table_heavy(compare.page_texts(b).withColumn("source_text", source))
+    return compare.covered_blocks(b, pages).select("doc_id", "page_no", "block_id", F.round("similarity", 6).alias("similarity"), "status", F.array_join("review_reason", ",").alias("reasons"), F.round("source_coverage", 6).alias("source_coverage"))
+
+
+@query(f"""WITH {S.SQL_BLOCKS}, b AS (SELECT *, list_distinct(string_split(text, ' ')) AS t FROM final_blocks WHERE text <> ''), g AS (SELECT doc_id, page_no, list_distinct(flatten(list(t))) AS o FROM b GROUP BY doc_id, page_no), v AS (SELECT doc_id, page_no, count(*) AS n FROM final_blocks WHERE review OR confidence < 0.75 GROUP BY ALL),
+    p AS (SELECT f.doc_id, f.page_no, f.doc_id % 3 = 0 AS layered, coalesce(len(list_intersect(['item', '7'], o)), 0) / 2 AS c, coalesce(v.n, 0) AS n FROM final_pages f LEFT JOIN g ON f.doc_id = g.doc_id AND f.page_no = g.page_no LEFT JOIN v ON f.doc_id = v.doc_id AND f.page_no = v.page_no)
+    SELECT doc_id, page_no, CASE WHEN layered THEN 'text_layer_pdf' ELSE 'visual_only' END AS source_kind, round(CASE WHEN layered THEN c ELSE 1.0 - least(0.8::DOUBLE, n * 0.1::DOUBLE) END, 6) AS similarity, CASE WHEN layered THEN CASE WHEN c >= 0.97 THEN 'match' WHEN c >= 0.85 THEN 'partial' ELSE 'mismatch' END WHEN n > 0 THEN 'needs_review' ELSE 'review_ok' END AS status FROM p""")
+def compare_documents(spark, sf_dir):
+    """Every third document has a text layer and is table-heavy; the rest is looked at by eye."""
+    b = quality.score_blocks(S.blocks(spark, sf_dir))
+    pages = S.orders(spark, sf_dir).select("doc_id", "page_no")
+    sources = pages.where("doc_id % 3 = 0").withColumn("source_text", F.lit("item 7"))
+    profiles = sources.select("doc_id").distinct().withColumn("layout_type", F.lit("table_heavy"))
+    found, _ = compare.compare_documents(pages, b, sources, profiles)
+    return found.select("doc_id", "page_no", "source_kind", F.round("similarity", 6).alias("similarity"), "status")
 
 
 def _spanned(spark, sf_dir):
@@ -437,6 +525,14 @@ def span_conflicts(spark, sf_dir):
     return geometry.span_conflicts(cells, S.words(spark, sf_dir), shape).select("doc_id", "page_no", "cell_ord", "rowspan")
 
 
-@query()
+_SPAN = "CASE WHEN hs[{0}] THEN '' ELSE ' rowspan=\"2\"' END"
+
+
+@query(f"""WITH {_CORNER}, corner AS (SELECT k.doc_id, k.page_no, list(token ORDER BY cx, cy, word_ord) FILTER (token IS NOT NULL) AS w FROM k LEFT JOIN (SELECT * FROM d WHERE r = 1) d ON k.doc_id = d.doc_id AND k.page_no = d.page_no GROUP BY k.doc_id, k.page_no),
+    s AS (SELECT b.*, w, coalesce(len(w) >= 2 AND w[-1] = 'qty' AND w[1] <> 'qty', false) AS split FROM boxes b JOIN corner USING (doc_id, page_no)),
+    c AS (SELECT s.*, v.i, x0 + v.a * (x1 - x0) / 3 AS cx0, x0 + v.z * (x1 - x0) / 3 AS cx1, y0 + (y1 - y0) / 3 AS ry0, y0 + 2 * (y1 - y0) / 3 AS ry1 FROM s, (VALUES (false, 1, 0, 2), (false, 2, 2, 3), (true, 1, 0, 1), (true, 2, 1, 2), (true, 3, 2, 3)) v(sp, i, a, z) WHERE v.sp = s.split),
+    hit AS (SELECT DISTINCT c.doc_id, c.page_no, i FROM c JOIN words w ON c.doc_id = w.doc_id AND c.page_no = w.page_no AND w.x0 >= c.x0 AND w.y0 >= c.y0 AND w.x1 <= c.x1 AND w.y1 <= c.y1 AND (w.x0 + w.x1) / 2 BETWEEN cx0 AND cx1 AND (w.y0 + w.y1) / 2 BETWEEN ry0 AND ry1),
+    x AS (SELECT c.doc_id, c.page_no, any_value(split) AS split, any_value(w) AS w, list(hit.i IS NOT NULL ORDER BY c.i) AS hs FROM c LEFT JOIN hit ON c.doc_id = hit.doc_id AND c.page_no = hit.page_no AND c.i = hit.i GROUP BY c.doc_id, c.page_no)
+    SELECT doc_id, page_no, '<table><tr>' || CASE WHEN split THEN '<th' || {_SPAN.format(1)} || '>' || w[1] || '</th><th' || {_SPAN.format(2)} || '>qty</th><th' || {_SPAN.format(3)} || '>금액</th>' ELSE '<th' || {_SPAN.format(1)} || ' colspan="2">qty</th><th' || {_SPAN.format(2)} || '>금액</th>' END || '</tr><tr><td>1</td></tr><tr><td>2</td><td>3</td><td>4</td></tr></table>' AS html, split OR list_contains(hs, true) AS pdf_text_repaired FROM x""")
 def repair_from_words(spark, sf_dir):
     return page_text.repair_from_words(_spanned(spark, sf_dir), S.words(spark, sf_dir)).select("doc_id", "page_no", "html", "pdf_text_repaired")
