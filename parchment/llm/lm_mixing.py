@@ -20,10 +20,10 @@ thousand shares its place at any size.
 
 from __future__ import annotations
 
-import re
 import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import WORD, Shared, crc_mod, text_of
+from parchment.llm.common import Shared, crc_mod, text_of
 
 #: Spelling predictors: orders 1 to 4, and the word so far. Each has 2**bits slots; they hold how words are built, not which there are.
 SPELL_BITS = (16, 18, 20, 21, 22)
@@ -46,12 +46,13 @@ BLOCK, STEP, ONLINE = 1 << 16, 1 << 15, 1 << 14
 TOKENS = 1 << 17
 #: Characters of a chunk, about, and bytes of text whose hashes make a slice.
 CHARACTERS, SLICE = 4_000_000, 8_000_000
-#: Words whose hashes a worker remembers; with more after a chunk, it forgets them all and goes on.
-REMEMBERED = 500_000
-_WORD = re.compile(WORD.encode())
+#: Bytes from which on a word is hashed on its own.
+LONG = 256
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_START = np.uint64(0x243F6A8885A308D3)
-_workers: dict[str, "_Names"] = {}
+_START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_LETTERS = np.random.default_rng(1).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_workers: dict[str, tuple] = {}
 
 
 # ---- bits: counts, mixing, refinement
@@ -65,6 +66,37 @@ class Model:
     weights: np.ndarray  # (GATES, predictors + 1)
     refined: np.ndarray  # (CELLS, BINS)
 
+    def _table(self, ones: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each slot's prediction on the logistic scale, and how often it was asked, by powers of 2 up to 7."""
+        seen = np.maximum(seen, np.float32(0))
+        ones = np.clip(ones, np.float32(0), seen)
+        x = np.where(seen > 0, np.log((ones + np.float32(0.02)) / (seen - ones + np.float32(0.02))), np.float32(0))
+        return x, np.minimum(7, np.log2(seen + 1)).astype(np.uint8)
+
+    @cached_property
+    def plain(self) -> tuple[np.ndarray, np.ndarray]:
+        return self._table(self.ones.astype(np.float32), self.seen.astype(np.float32))
+
+    @cached_property
+    def left_out(self) -> tuple[np.ndarray, np.ndarray]:
+        """As plain, with one bit taken out of each slot's counts: a 0 at even places, a 1 at odd ones."""
+        ones, seen = self.ones.astype(np.float32), self.seen.astype(np.float32) - 1
+        both = np.empty(2 * len(seen), np.float32)
+        both[0::2], level = self._table(ones, seen)
+        both[1::2] = self._table(ones - 1, seen)[0]
+        return both, level
+
+    def __getstate__(self) -> tuple:
+        """Only slots that were asked for travel."""
+        at = np.flatnonzero(self.seen)
+        return self.bits, len(self.seen), packed(np.diff(at, prepend=0)), packed(self.ones[at]), packed(self.seen[at]), self.weights, self.refined
+
+    def __setstate__(self, state: tuple) -> None:
+        self.bits, n, at, ones, seen, self.weights, self.refined = state
+        at = np.cumsum(unpacked(at).astype(np.int64))
+        self.ones, self.seen = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
+        self.ones[at], self.seen[at] = unpacked(ones), unpacked(seen)
+
     @classmethod
     def blank(cls, bits: tuple[int, ...], ones: np.ndarray, seen: np.ndarray) -> Model:
         weights = np.full((GATES, len(bits) + 1), 0.3)
@@ -97,68 +129,76 @@ def _bin(z: np.ndarray) -> np.ndarray:
 
 def _inputs(model: Model, b: Bits, leave_out: bool) -> tuple[np.ndarray, np.ndarray]:
     """(predictions on the logistic scale and a constant, gates). A bit that is learned from is left out of its own counts."""
-    n, one = model.seen[b.slots].astype(np.float64), model.ones[b.slots].astype(np.float64)
-    if leave_out:
-        n = np.maximum(n - 1, 0)
-        one = np.minimum(np.maximum(one - b.bit, 0), n)
-    x = np.ones((len(b.slots) + 1, b.slots.shape[1]))
-    x[:-1] = np.where(n > 0, np.log((one + 0.02) / (n - one + 0.02)), 0.0)
+    table, level = model.left_out if leave_out else model.plain
+    x = np.ones((len(b.slots) + 1, b.slots.shape[1]), np.float32)
+    x[:-1] = table[2 * b.slots + b.bit] if leave_out else table[b.slots]
     if b.gate is not None:
         return x, b.gate
-    level = np.minimum(7, np.log2(n[-2:] + 1)).astype(np.int64)
-    return x, level[1] * 8 + level[0]
+    return x, level[b.slots[-1]].astype(np.int64) * 8 + level[b.slots[-2]]
+
+
+def _mixed(weights: np.ndarray, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    z = np.zeros(len(gate), np.float32)
+    for w, own in zip(weights.T.astype(np.float32), x, strict=True):
+        z += w[gate] * own
+    return z
 
 
 def log10_probability(model: Model, steps: Iterator[Bits], owners: int) -> np.ndarray:
     """log10 of the probability of each owner's bits."""
-    out = np.zeros(owners)
+    out, refined = np.zeros(owners), model.refined.ravel()
     for b in steps:
         x, gate = _inputs(model, b, False)
-        z = (model.weights[gate] * x.T).sum(1)
-        p = np.clip((_squash(z) + model.refined[b.cell, _bin(z)]) / 2, 1e-9, 1 - 1e-9)
+        z = _mixed(model.weights, x, gate)
+        p = np.clip((_squash(z) + refined[b.cell * BINS + _bin(z)]) / 2, 1e-9, 1 - 1e-9)
         out += np.bincount(b.owner, np.log10(np.where(b.bit == 1, p, 1 - p)), owners)
     return out
 
 
 def _count(bits: tuple[int, ...], steps: Iterator[Bits]) -> tuple[np.ndarray, np.ndarray]:
     """(ones, all) of the bits by slot."""
-    slots = sum(1 << b for b in bits)
-    ones, seen = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
+    both = np.zeros(sum(1 << b for b in bits), np.int64)  # all below, ones above
     for b in steps:
-        for k in range(len(bits)):
-            np.add.at(seen, b.slots[k], 1)
-            np.add.at(ones, b.slots[k], b.bit)
-    return ones, seen
+        add = 1 + (b.bit.astype(np.int64) << 32)
+        for slots in b.slots:
+            np.add.at(both, slots, add)
+    return both >> 32, both & (2**32 - 1)
 
 
 def _learn(model: Model, steps: Iterator[Bits]) -> tuple[np.ndarray, np.ndarray]:
     """Online steps in the order of the bits: (weights times bits then hits, bits then times), to be added over tasks.
 
-    Each short run of bits makes one second-order step, with the curvature that has gathered so far.
+    Each short run of bits makes one second-order step, with the curvature that has gathered so far; the curvature is
+    taken from every fourth run, for four.
     """
     k1 = len(model.bits) + 1
-    w, total = model.weights.copy(), 0
+    w, total, runs = model.weights.copy(), 0, 0
     hits, times = np.zeros(CELLS * BINS), np.zeros(CELLS * BINS)
     curve = np.repeat(np.eye(k1)[None] * 200.0, GATES, 0)
     for b in steps:
         x, gate = _inputs(model, b, True)
+        found = np.empty(len(b.bit), np.float32)
         for s in range(0, len(b.bit), ONLINE):
             part = slice(s, s + ONLINE)
-            xs, gs, bit = x[:, part], gate[part], b.bit[part]
-            z = (w[gs] * xs.T).sum(1)
+            xs, gs = x[:, part], gate[part]
+            found[part] = z = _mixed(w, xs, gs)
             p = _squash(z)
-            err, bend = bit - p, np.maximum(p * (1 - p), 1e-4)
+            err = b.bit[part] - p
             slope = np.stack([np.bincount(gs, err * xs[i], GATES) for i in range(k1)], 1)
-            for i in range(k1):
-                for j in range(i + 1):
-                    add = np.bincount(gs, bend * xs[i] * xs[j], GATES)
-                    curve[:, i, j] += add
-                    if i != j:
-                        curve[:, j, i] += add
+            if runs % 4 == 0:
+                bend = 4 * np.maximum(p * (1 - p), 1e-4)
+                for i in range(k1):
+                    bent = bend * xs[i]
+                    for j in range(i + 1):
+                        add = np.bincount(gs, bent * xs[j], GATES)
+                        curve[:, i, j] += add
+                        if i != j:
+                            curve[:, j, i] += add
+            runs += 1
             w += np.linalg.solve(curve, slope[:, :, None])[:, :, 0]
-            cell = b.cell[part] * BINS + _bin(z)
-            hits += np.bincount(cell, bit, CELLS * BINS)
-            times += np.bincount(cell, minlength=CELLS * BINS)
+        cell = b.cell * BINS + _bin(found)
+        hits += np.bincount(cell, b.bit, CELLS * BINS)
+        times += np.bincount(cell, minlength=CELLS * BINS)
         total += len(b.bit)
     return np.concatenate([w.ravel() * total, hits]), np.concatenate([np.full(w.size, float(total)), times])
 
@@ -238,7 +278,7 @@ def trained(rows: DataFrame, bits: tuple[int, ...], steps: Callable[[Iterator[pa
     shared = spark.sparkContext.broadcast(model)
     n = model.weights.size
     a, b = _gathered(rows.mapInArrow(lambda x: _blocks(*_learn(shared.value, steps(x))), schema), n + CELLS * BINS, np.float64)
-    shared.unpersist()
+    shared.destroy()
     if b[:n].any():
         model.weights = (a[:n] / b[:n]).reshape(model.weights.shape)
     hits, times = a[n:].reshape(CELLS, BINS), b[n:].reshape(CELLS, BINS)
@@ -250,11 +290,17 @@ def trained(rows: DataFrame, bits: tuple[int, ...], steps: Callable[[Iterator[pa
 
 
 def spelled(tokens: list[bytes]) -> Iterator[Bits]:
-    """The bits of words, each with a closing space, highest first; the end is a line feed. Contexts lie within a word."""
-    coded = [t + b" " if t else b"\n" for t in tokens]
-    sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-    raw, token = np.frombuffer(b"".join(coded), np.uint8), np.repeat(np.arange(len(coded)), sizes)
+    """The bits of words, each with a closing space, highest first; the end, an empty word, is a line feed. Contexts lie within a word."""
+    return _spelled(np.frombuffer(b" ".join([*tokens, b""]), np.uint8))
+
+
+def _spelled(raw: np.ndarray) -> Iterator[Bits]:
+    """As spelled(), of words that each have their closing space."""
+    closes = raw == 32
+    token = np.cumsum(closes) - closes
+    sizes = np.diff(np.flatnonzero(closes), prepend=-1)
     place = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    raw = np.where(closes & (place == 0), np.uint8(10), raw)
     contexts = _contexts(raw, place)
     first, shift = np.cumsum([0, *(1 << b for b in SPELL_BITS)]), np.arange(8)
     for s in range(0, len(raw), STEP):
@@ -288,9 +334,7 @@ def _contexts(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
 def _spelling_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[Bits]:
     for batch in batches:
         for data in batch.column(0):
-            words = _unzipped(data.as_py()).split(b" ")
-            for s in range(0, len(words), STEP):
-                yield from spelled(words[s : s + STEP])
+            yield from _spelled(np.frombuffer(_unzipped(data.as_py()), np.uint8))
 
 
 # ---- orders: which context names a word
@@ -387,41 +431,67 @@ def unpacked(data: bytes) -> np.ndarray:
 # ---- chunks and their counts
 
 
-class _Names(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = name = xxhash.xxh64_intdigest(word)
-        return name
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * _A
     x = (x ^ (x >> np.uint64(29))) * _B
     return x ^ (x >> np.uint64(32))
 
 
-def words_of(text: str) -> list[bytes]:
-    """Words, A-Z in lower case, and the end, an empty word."""
-    out = _WORD.findall(text.encode("utf-8", "surrogatepass").lower())
-    out.append(b"")
-    return out
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of an odd number, and of its inverse modulo 2**64."""
+    if len(_workers.get("powers", ((),))[0]) <= n:
+        _workers["powers"] = tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, x, np.uint64))]) for x in (int(_A), pow(int(_A), -1, 2**64)))
+    return _workers["powers"]
+
+
+def _spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The places of all bytes of some spans, span after span."""
+    sizes = ends - starts
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
 class Chunk:
-    """The tokens of some rows (id, train, text) in a row."""
+    """The tokens of some rows (id, train, text) in a row: words, A-Z in lower case, and after each text an end, an empty word."""
 
     def __init__(self, batch: pa.RecordBatch):
-        each = [words_of(t.as_py()) for t in batch.column("text")]
-        self.ids, self.sizes = batch.column("id"), np.array([len(w) for w in each], np.int64)
-        self.words = [w for ws in each for w in ws]
-        known = _workers.setdefault("names", _Names())
-        self.names = np.fromiter(map(known.__getitem__, self.words), np.uint64, len(self.words))
-        if len(known) > REMEMBERED:
-            known.clear()
-        self.of = np.repeat(np.arange(len(each)), self.sizes)
+        texts = [t.as_py().encode("utf-8", "surrogatepass") for t in batch.column("text")]
+        # A line feed stands before and after each text.
+        raw = b"\n".join([b"", *texts, b""]).lower()
+        self.raw = np.frombuffer(raw, np.uint8)
+        space = _SPACE[self.raw]
+        starts, stops = np.flatnonzero(space[:-1] & ~space[1:]) + 1, np.flatnonzero(~space[:-1] & space[1:]) + 1
+        names = self._named(raw, starts, stops)
+        edges = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        words = np.diff(np.searchsorted(starts, edges))
+        self.ids, self.sizes = batch.column("id"), words + 1
+        self.of = np.repeat(np.arange(len(texts)), self.sizes)
         self.first = np.cumsum(self.sizes) - self.sizes
+        ends = self.first + words
+        word = np.ones(len(self.of), bool)
+        word[ends] = False
+        self.names, self.starts, self.stops = np.full(len(word), _END), np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
+        self.names[word], self.starts[word], self.stops[word] = names, starts, stops
         self.train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
         self.learns = self.train[self.of]
 
+    def _named(self, raw: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Names of words of 64 bits: sums of powers over random numbers of their bytes, mixed; of long words a hash that no pattern of letters can trick."""
+        power, back = _powers(len(self.raw))
+        with np.errstate(over="ignore"):
+            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTERS[self.raw] * power[: len(self.raw)])])
+            names = _mix((upto[stops] - upto[starts]) * back[starts] + (stops - starts).astype(np.uint64) * _B)
+        for i in np.flatnonzero(stops - starts > LONG).tolist():
+            names[i] = xxhash.xxh64_intdigest(raw[starts[i] : stops[i]])
+        return names
+
+    def words(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of the words at these tokens, each with a space after it; where each ends)."""
+        starts, stops = self.starts[at], self.stops[at]
+        out = np.full(int((stops - starts).sum()) + len(at), 32, np.uint8)
+        upto = np.cumsum(stops - starts + 1)
+        out[_spans(upto - 1 - (stops - starts), upto - 1)] = self.raw[_spans(starts, stops)]
+        return out, upto
+
     def keys(self, bits: int) -> list[np.ndarray]:
         """Names of words (64 bits), and of pairs and triples that end at each word (bits)."""
         one, two = np.full(len(self.names), _START), np.full(len(self.names), _START)
@@ -472,18 +542,23 @@ def _ask(batches: Iterator[pa.RecordBatch], bits: int, deep: int) -> Iterator[pa
         for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
             c = Chunk(_unbody(data.as_py()))
             for kind, names in enumerate(c.keys(bits)):
-                keys, at = np.unique(names, return_index=True) if kind == 0 else (np.unique(names), None)
-                own, n = np.unique(names[c.learns], return_counts=True)
-                counts = np.zeros(len(keys), np.int64)
-                counts[np.searchsorted(keys, own)] = n
+                if kind == 0:
+                    keys, at, inverse = np.unique(names, return_index=True, return_inverse=True)
+                    counts = np.bincount(inverse, c.learns, len(keys)).astype(np.int64)
+                    words, upto = c.words(at)
+                    upto = np.concatenate([[0], upto])
+                else:  # the lowest bit says whether the place is learned from
+                    every = np.sort((names << np.uint64(1)) | c.learns)
+                    new = np.flatnonzero(np.r_[True, (every[1:] ^ every[:-1]) > 1])
+                    keys, counts = every[new] >> np.uint64(1), np.add.reduceat((every & np.uint64(1)).astype(np.int64), new)
                 of = keys >> np.uint64((64 if kind == 0 else bits) - deep) if deep else np.zeros(len(keys), np.uint64)
                 edges = np.searchsorted(of, np.arange((1 << deep) + 1, dtype=np.uint64))
                 rows = []
                 for i in range(1 << deep):
                     s, e = int(edges[i]), int(edges[i + 1])
                     if s < e:
-                        words = _zipped(b" ".join([c.words[j] for j in at[s:e].tolist()])) if kind == 0 else None
-                        rows.append((kind, i, chunk, packed(np.diff(keys[s:e], prepend=np.uint64(0))), packed(counts[s:e]), words))
+                        own = _zipped(words[upto[s] : upto[e]].tobytes()) if kind == 0 else None
+                        rows.append((kind, i, chunk, packed(np.diff(keys[s:e], prepend=np.uint64(0))), packed(counts[s:e]), own))
                 types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], _names_of(_ASKED))
 
@@ -505,9 +580,11 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, at = held[0]["kind"], held[0]["slice"]
         rows = [(r["chunk"], kind, at, packed(each[s:e]), 0, 0) for r, s, e in zip(held, edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         if kind == 0 and total.any():
-            words = [w for r in held for w in _unzipped(r["words"]).split(b" ")]
+            words = np.frombuffer(b"".join(_unzipped(r["words"]) for r in held), np.uint8)
+            stops = np.flatnonzero(words == 32) + 1
             firsts = order[new][total > 0]
-            rows.append((-1, kind, at, _zipped(b" ".join([words[i] for i in firsts.tolist()])), int(total.sum()), len(firsts)))
+            known = words[_spans(np.concatenate([[0], stops[:-1]])[firsts], stops[firsts])]
+            rows.append((-1, kind, at, _zipped(known.tobytes()), int(total.sum()), len(firsts)))
         types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], _names_of(_REPLY))
 
@@ -540,14 +617,11 @@ def _state(c: Chunk, bits: int, answers: list[np.ndarray], n: int, v: int, spell
     at, inverse = places[0]
     unknown = np.unique(inverse[order == 0])
     cost = np.zeros(len(at))
-    for s in range(0, len(unknown), STEP):
-        part = unknown[s : s + STEP]
-        words = [c.words[i] for i in at[part].tolist()]
-        cost[part] = log10_probability(spelling, spelled(words), len(words))
+    if len(unknown):
+        cost[unknown] = log10_probability(spelling, _spelled(c.words(at[unknown])[0]), len(unknown))
     fixed += np.where(order == 0, cost[inverse], 0.0)
     base = np.log10((counts[0] + 1) / (n + v + 1))
-    sizes = np.fromiter(map(len, c.words), np.int64, len(c.words)) + 1
-    docs = len(c.sizes)
+    sizes, docs = c.stops - c.starts + 1, len(c.sizes)
     add = lambda x: np.bincount(c.of, x, docs)
     states = (order + 4 * levels(two) + 32 * levels(one)).astype(np.uint8).tobytes()
     states = [states[s : s + k] for s, k in zip(c.first.tolist(), c.sizes.tolist(), strict=True)]
@@ -569,7 +643,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     id_type = rows.schema["id"].dataType.simpleString()
     chunks = shared.save(rows.mapInArrow(_bundle, "chunk long, size long, body binary"), "chunks")
     number, size = chunks.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    bits = min(64, max(16, int(size).bit_length() + 8))
+    bits = min(62, max(16, int(size).bit_length() + 8))
     deep = min(bits - 1, max(0, int(size) // SLICE).bit_length())
     asked = chunks.select("chunk", "body").mapInArrow(lambda b: _ask(b, bits, deep), _ASKED)
     asked = asked.repartition(max(parts, 1 << deep), "kind", "slice").sortWithinPartitions("kind", "slice", "chunk")
@@ -595,7 +669,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     both = replies.where("chunk >= 0").select("chunk", "kind", "slice", "payload").unionByName(chunks.select("chunk", F.lit(9).alias("kind"), F.lit(0).alias("slice"), F.col("body").alias("payload")))
     both = both.repartition(max(parts, -(-int(number) // 2)), "chunk").sortWithinPartitions("chunk", "kind", "slice")
     states = shared.save(both.select("kind", "payload").mapInArrow(state, schema), "states")
-    spelling.unpersist()
+    spelling.destroy()
     orders = spark.sparkContext.broadcast(trained(states.where("train").select("states"), ORDER_BITS, _order_steps))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
