@@ -174,11 +174,11 @@ class Engine:
         union = lambda frames: reduce(DataFrame.unionByName, frames)
         blocks = union([self.parse(raw, own) for own, raw in parts])
         raw = union([raw.withColumn("engine_used", F.lit(own.name)) for own, raw in parts])
-        if words is not None:
-            blocks = page_text.repair_blocks(blocks, words)
         # Written once: what follows reads blocks and pages many times over.
         shared = SharedFolder(self.spark)
-        raw, blocks = shared.save(raw.drop("markdown"), "raw"), shared.save(blocks, "blocks")
+        raw, blocks = shared.save(raw.drop("markdown"), "raw"), shared.save(blocks, "parsed")
+        if words is not None:
+            blocks = shared.save(page_text.repair_blocks(blocks, words), "repaired")
         if self.config.table_refine and candidates is not None:
             by = ["doc_id", "page_no", "block_id"]
             refined = tables.refine(blocks.where("block_type = 'table'"), candidates, by, self.config.max_tables_per_page)
