@@ -1,6 +1,6 @@
 import re
 
-from parchment.llm.license import BASE, scan_licenses
+from parchment.llm.license import BASE, _templates, scan_licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TEXTS = [
@@ -30,3 +30,25 @@ def test_templates(make):
 
 def test_odd(make, odd):
     assert scan_licenses(make(odd)).count() == len(odd) and scan_licenses(make([])).count() == 0
+
+
+def test_odd_rows_against_plain_words(make, odd):
+    got = sorted(str((r.id, r.n_words, r.n_base, r.first_word, r.labels, r.score)) for r in scan_licenses(make(odd)).collect())
+    n = lambda t: len(WORD.findall((t or "").lower()))
+    assert got == sorted(str((r[0], n(r[1]), 0, None, "", 0.0)) for r in odd)
+
+
+def test_every_template_is_found_in_its_own_text(make):
+    """Whole texts, in the middle of other words, with a fifth of the words outside the key phrase changed."""
+    rows = []
+    for i, t in enumerate(_templates()):
+        words = list(t["words"])
+        free = [k for k in range(len(words)) if not t["at"] <= k < t["at"] + len(t["key"])]
+        for k in free[:: max(5, 1)]:
+            words[k] = "changed"
+        rows += [(2 * i, "some words before " + " ".join(words) + " and after"), (2 * i + 1, " ".join(words).replace(t["key"][0], "other", 1))]
+    got = {r.id: r for r in scan_licenses(make(rows)).collect()}
+    for i, t in enumerate(_templates()):
+        own = {x.label: x.starts for x in got[2 * i].found}
+        assert 3 in own[t["label"]], t["label"]
+    assert [r.id for r in got.values() if r.labels == ""] != []

@@ -51,3 +51,36 @@ def test_held_out(spark):
     good, bad = (np.array([r.score for r in got if r.quality == q]) for q in (1, 0))
     assert (good[:, None] > bad[None, :]).mean() > 0.93
     assert np.mean([r.predicted == r.quality for r in got]) > 0.9
+
+
+def test_own_names_are_replaced(make, odd, spark):
+    """Columns that have the new one's name already give way; all others stay, and with them the order of columns."""
+    docs = make(odd)
+    assert {"score", "fp"} <= set(docs.columns)
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (9, 1), (8, 0)], "doc_id long, quality int")
+    model = fit(docs, labels)
+    rest = [c for c in docs.columns if c != "score"]
+    got = score(docs, model)
+    assert got.columns == [*rest, "score"] and got.select(*rest).exceptAll(docs.select(*rest)).count() == 0 and got.where("score < 0 OR score > 1").count() == 0
+    assert score(docs, None).select("score").distinct().count() == 1
+
+
+def test_prior_without_negatives():
+    from parchment.llm.quality import estimate_prior
+
+    rng = np.random.default_rng(3)
+    for share in (0.2, 0.5, 0.9):
+        n = int(20_000 * share)
+        free = np.concatenate([rng.normal(2, 1, n), rng.normal(-2, 1, 20_000 - n)])
+        assert abs(estimate_prior(rng.normal(2, 1, 5000), free, np.ones(len(free))) - share) < 0.04
+    assert estimate_prior(np.empty(0), np.zeros(3), np.ones(3)) == 0.5
+
+
+def test_labels_of_bad_documents_play_no_part(make, spark):
+    rows = [(i, ("Plain words make a sentence here. " * 3 if i % 3 else "xx !! 00 ") + str(i), "en", "x") for i in range(90)]
+    good = [(i, 1) for i in range(90) if i % 3 == 1]
+    bad = [(i, 0) for i in range(90) if i % 3 == 0]
+    one, other = (rate_documents(make(rows), make(rows), spark.createDataFrame(x, "doc_id long, quality int")).collect() for x in (good, good + bad))
+    assert sorted((r.id, r.score) for r in one) == sorted((r.id, r.score) for r in other)
+    by_filter = rate_documents(make(rows), lambda d: d.where("id >= 0"), spark.createDataFrame(good, "doc_id long, quality int")).collect()
+    assert sorted((r.id, round(r.score, 6)) for r in one) == sorted((r.id, round(r.score, 6)) for r in by_filter)

@@ -122,3 +122,13 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long"), Shared(spark, "t")).collect()}
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
     assert connected_components(spark.createDataFrame([], "u long, v long"), Shared(spark, "t")).count() == 0
+
+
+def test_fingerprints_replace_their_own_name(make, odd):
+    from parchment.llm.simhash import fingerprints
+
+    docs = make(odd)
+    rest = [c for c in docs.columns if c != "fp"]
+    got = fingerprints(docs)
+    assert got.columns == [*rest, "fp"] and got.select(*rest).exceptAll(docs.select(*rest)).count() == 0
+    assert fingerprints(docs, name="extra").columns == [*docs.columns, "extra"]
