@@ -1,7 +1,9 @@
-"""Near copies by MinHash: documents whose sets of word shingles have a given Jaccard similarity or more.
+"""Near copies: documents whose sets of word shingles have a given Jaccard similarity or more.
 
-Candidates are rows that share all ROWS least hashes of one of BANDS bands; of pairs with similarity 0.8 all but
-1.3 in ten million do, above it fewer are missed. Every candidate is verified by the whole sets, except where both are known to be in
+First come candidates by SimHash: rows whose fingerprints of 64 bits over the same shingles differ in NEAR bits or fewer, found by anchor points
+(simhash.links). Pairs of similarity 0.8 differ in more bits than anchors can cover, so rows in different components after that are compared by MinHash:
+candidates are those that share all ROWS least hashes of one of BANDS bands; of pairs with similarity 0.8 all but
+1.3 in ten million do, above it fewer are missed. Every candidate of either kind is verified by the whole sets, except where both are known to be in
 one component already. In each of a few rounds all rows of a bucket are compared with one of it, in the first round with the most central one,
 which shares the most buckets with others; then come all pairs of rows that are still in different components. So a large
 bucket of copies costs its size, not the square of it. Rounds end as soon as the pairs that are left are few.
@@ -21,9 +23,12 @@ from pyspark.sql import functions as F
 from parchment.llm.common import WORD, Shared, text_of
 from parchment.llm.exact import Filter
 from parchment.llm.graph import connected_components
+from parchment.llm.simhash import bit_counts, links, majority
 
 _WORD = re.compile(WORD.encode())
 BANDS, ROWS = 40, 5
+#: Bits in which fingerprints of candidates differ at most.
+NEAR = 2
 #: Shingles whose least hashes are taken at a time.
 STEP = 512
 #: Rounds of comparisons with one row of a bucket, at most, and the pairs for each row of a bucket at which they end. They change the work, not the links.
@@ -75,19 +80,25 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             sets = [shingles(t.as_py(), words) for t in batch.column(2)]
             names = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(list(map(len, sets)), pa.int64()), names], ["id", "key", "size", "bands"])
+            fps = np.array([majority(bit_counts(s), len(s)) for s in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(list(map(len, sets)), pa.int64()), pa.array(fps), names], ["id", "key", "size", "fp", "bands"])
 
-    signed = rows.mapInArrow(sign, f"id {id_type}, key binary, size bigint, bands array<bigint>")
-    each = signed.groupBy("key").agg(F.first("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.count("*").alias("rows"))
+    signed = rows.mapInArrow(sign, f"id {id_type}, key binary, size bigint, fp bigint, bands array<bigint>")
+    each = signed.groupBy("key").agg(*[F.first(c).alias(c) for c in ("id", "size", "fp", "bands")], F.count("*").alias("rows"))
     each = shared.save(each.withColumn("node", F.monotonically_increasing_id()), "each")
+    # Rows of one fingerprint with the first of them, and first rows whose fingerprints are near.
+    one, far = links(each.select("fp", F.col("node").alias("id")), Shared(docs.sparkSession, "nearcopies"), NEAR)
+    alike = each.join(one.withColumnRenamed("id", "v"), "fp").where("node != v").select(F.col("node").alias("u"), "v").unionByName(far)
+    alike = shared.save(alike.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "alike")
     exploded = each.select("node", "size", F.explode("bands").alias("band"))
     several = exploded.groupBy("band").agg(F.count("*").alias("others")).where("others > 1")
     shared_bands = shared.save(exploded.join(several, "band"), "shared_bands")
     # How many rows a row shares buckets with: the larger, the more central it is.
     central = shared_bands.groupBy("node").agg(F.sum("others").alias("central"))
     buckets = shared.save(shared_bands.drop("others").join(central, "node"), "buckets")
-    # Rows that share a bucket or are repeated; all others stay, and never move.
-    marked = buckets.select("node").distinct().withColumn("paired", F.lit(True))
+    # Rows that are in a pair, share a bucket or are repeated; all others stay, and never move.
+    either = alike.select(F.explode(F.array("u", "v")).alias("node"))
+    marked = buckets.select("node").unionByName(either).distinct().withColumn("paired", F.lit(True))
     needed = each.join(marked, "node", "left").where("paired OR rows > 1").select("node", F.col("key").alias("digest"), "paired")
     needed = shared.save(needed, "needed")
     several = Filter.of(needed, needed.count(), shared, "several")
@@ -108,21 +119,25 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         both = both.select("u", "v", (F.size("a") + F.size("b")).alias("n"), F.size(F.array_intersect("a", "b")).alias("common"))
         return shared.save(both.where(100 * F.col("common") >= percent * (F.col("n") - F.col("common"))).select("u", "v"), name)
 
-    def settled(placed: DataFrame, links: DataFrame, i: int) -> DataFrame:
-        """placed with the components that the links make of those that were."""
+    def settled(placed: DataFrame, joined: DataFrame, i: int) -> DataFrame:
+        """placed with the components that the joined pairs make of those that were."""
         of = lambda x: placed.select(F.col("node").alias(x), F.col("c").alias(f"c{x}")).distinct()
-        edges = links.join(of("u"), "u").join(of("v"), "v").select(F.col("cu").alias("u"), F.col("cv").alias("v"))
+        edges = joined.join(of("u"), "u").join(of("v"), "v").select(F.col("cu").alias("u"), F.col("cv").alias("v"))
         found = connected_components(edges, Shared(docs.sparkSession, "nearcopies")).withColumnRenamed("node", "c")
         return shared.save(placed.join(found, "c", "left").withColumn("c", F.coalesce("component", "c")).drop("component"), f"placed-{i}")
 
     def apart(placed: DataFrame, i: int) -> tuple[DataFrame, int, int]:
         """(rows of buckets with several components, their number, how many pairs of them are in different ones)"""
-        sizes = placed.groupBy("band", "c").agg(F.count("*").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("parts")).where("parts > 1")
+        sizes = placed.where("band IS NOT NULL").groupBy("band", "c").agg(F.count("*").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("parts")).where("parts > 1")
         sizes = shared.save(sizes, f"sizes-{i}")
         rows, pairs = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.lit(0.0))).first()
         return placed.join(sizes.select("band"), "band"), rows, int(pairs)
 
-    placed = buckets.withColumn("c", F.col("node"))
+    # What only a pair has is in no bucket.
+    alone = either.distinct().join(buckets.select("node"), "node", "left_anti").join(each.select("node", "size"), "node")
+    placed = buckets.unionByName(alone.withColumn("central", F.lit(0).cast("long")), allowMissingColumns=True).withColumn("c", F.col("node"))
+    size = lambda x: each.select(F.col("node").alias(x), F.col("size").alias(f"s{x}"))
+    placed = settled(placed, verified(alike.join(size("u"), "u").join(size("v"), "v"), "near"), 0)
     left, rows_left, pairs_left = apart(placed, 0)
     for i in range(1, ROUNDS + 1):
         if pairs_left <= (FEW if i > 1 else 0) * rows_left:

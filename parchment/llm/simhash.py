@@ -37,6 +37,20 @@ SMALL, LARGE = 16, 4096
 STEP = 1 << 18
 
 
+def bit_counts(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits set."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(h), STEP):
+        part = h[at : at + STEP].astype("<u8")
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return counts
+
+
+def majority(counts: np.ndarray, n: int) -> int:
+    """64 bits; each is 1 if over half of n hashes have it."""
+    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "little")
+
+
 def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
     """64 bits; each is 1 if set in over half of the hashes of the text's word shingles, repeats included.
 
@@ -50,9 +64,8 @@ def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
     for at in range(0, n, STEP):
         part = w[at : at + STEP + words - 1]
         grams = map(b" ".join, zip(*(part[i:] for i in range(words)))) if len(w) >= words else [b" ".join(w)]
-        h = np.fromiter(map(digest, grams), np.uint64).astype("<u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "little")
+        counts += bit_counts(np.fromiter(map(digest, grams), np.uint64))
+    return majority(counts, n)
 
 
 @cache
@@ -213,8 +226,8 @@ def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3, seed:
     return docs.mapInArrow(run, schema)
 
 
-def classes(fps: DataFrame, shared: Shared, threshold: int = 2, most: int = LARGE) -> DataFrame:
-    """(id, fp) rows -> (fp, component): component is the smallest id in reach over links of at most threshold bits."""
+def links(fps: DataFrame, shared: Shared, threshold: int = 2, most: int = LARGE) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) rows -> ((fp, id), the smallest id of each fingerprint; (u, v), links of these ids, which join all that differ in threshold bits or fewer)."""
     if threshold not in (0, 2, 4):
         raise ValueError("threshold must be 0, 2 or 4: midpoints need an even one, and replicas grow fast beyond 4")
     r, n = threshold // 2, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -229,13 +242,18 @@ def classes(fps: DataFrame, shared: Shared, threshold: int = 2, most: int = LARG
 
     rows = each.where("id IS NOT NULL").select("fp", "id").mapInArrow(replicate, "anchor bigint, fp bigint, id bigint")
     rows = rows.repartition(n, "anchor").sortWithinPartitions("anchor", "fp")
-    links = shared.save(rows.mapInArrow(lambda b: _compare(b, r, most), "u bigint, v bigint, spill boolean"), "links")
+    found = shared.save(rows.mapInArrow(lambda b: _compare(b, r, most), "u bigint, v bigint, spill boolean"), "links")
     # Anchors with too many fingerprints: a midpoint has at most as many distinct ones as there are flips.
     masks = F.array(*[F.lit(int(m)) for m in flips(r).view(np.int64)])
-    far = links.where("spill").select(F.col("u").alias("id"), F.col("v").alias("fp")).distinct()
+    far = found.where("spill").select(F.col("u").alias("id"), F.col("v").alias("fp")).distinct()
     far = far.select("id", F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("mid"))
     far = far.groupBy("mid").agg(F.min("id").alias("v"), F.collect_set("id").alias("us")).select(F.explode("us").alias("u"), "v")
-    edges = links.where("NOT spill").select("u", "v").unionByName(far.where("u != v"))
+    return each, found.where("NOT spill").select("u", "v").unionByName(far.where("u != v"))
+
+
+def classes(fps: DataFrame, shared: Shared, threshold: int = 2, most: int = LARGE) -> DataFrame:
+    """(id, fp) rows -> (fp, component): component is the smallest id in reach over links of at most threshold bits."""
+    each, edges = links(fps, shared, threshold, most)
     found = connected_components(edges, shared)
     return each.join(found, each.id == found.node, "left").select("fp", F.coalesce("component", "id").alias("component"))
 

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline as P
-from parchment.llm import minhash
+from parchment.llm import minhash, simhash
 
 WORDS = [f"w{i}" for i in range(3000)]
 
@@ -61,6 +61,23 @@ def test_strays_of_a_large_bucket(make, spark, monkeypatch):
     assert sorted(r.doc_id for r in minhash.near_copies(make(rows)).collect()) == survivors(rows)
 
 
+def test_fingerprints_are_the_first_candidates(make, spark, monkeypatch):
+    """Without any MinHash bucket, copies whose fingerprints are near still meet at anchors, and the sets decide."""
+    monkeypatch.setattr(minhash, "bands", lambda sets: minhash.np.random.default_rng().integers(0, 2**62, 2))
+    rng = random.Random(5)
+    rows = []
+    for i in range(8):
+        text = [rng.choice(WORDS) for _ in range(400)]
+        # One more word changes one shingle of 397; the same words in another case change none.
+        rows += [(10 * i, " ".join(text)), (10 * i + 1, " ".join([*text, "more"])), (10 * i + 2, " ".join(text).upper())]
+    # One bit set in all three shingles of one, in two of three of the other: equal fingerprints are no proof.
+    monkeypatch.setattr(minhash, "majority", lambda counts, n: 7 if n < 20 else simhash.majority(counts, n), raising=False)
+    rows += [(900, "a b c d e f g"), (901, "h i j k l m n")]
+    got = sorted(r.doc_id for r in P.near(spark, make(rows), "").collect())
+    assert survivors(rows) == [0, 10, 20, 30, 40, 50, 60, 70, 900, 901] and {900, 901} <= set(got)
+    assert len(got) <= 12 and set(survivors(rows)) <= set(got)
+
+
 def test_odd(make, odd):
     docs = make(odd)
     out = minhash.near_copies(docs)
