@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import Shared, sampled, without
+from parchment.llm.common import Shared, keep, sampled, trim, without
 
 #: What is given to a text that is null or has no letter.
 UNKNOWN = "und"
@@ -28,7 +28,6 @@ LONGEST = 5
 REMEMBERED = 300_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_workers: dict[str, "_Scorer"] = {}
 
 
 class Rows:
@@ -192,11 +191,11 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        if (scorer := _workers.get("scorer")) is None or scorer.model is not model:
-            scorer = _workers["scorer"] = _Scorer(model)
+        scorer = keep("languages", lambda: _Scorer(model), lambda x: x.model is model)
         for batch in batches:
             found = [scorer(t.as_py()) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], [*batch.schema.names, lang, score])
+        trim()
 
     return docs.mapInArrow(run, schema)
 

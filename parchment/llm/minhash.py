@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parchment.llm.common import WORD, Shared, text_of
+from parchment.llm.common import WORD, Shared, lean, text_of
 from parchment.llm.exact import Filter
 from parchment.llm.graph import connected_components
 from parchment.llm.simhash import bit_counts, links, majority
@@ -77,7 +77,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_type = rows.schema["id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             sets = [shingles(t.as_py(), words) for t in batch.column(2)]
             names = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
             fps = np.array([majority(bit_counts(s), len(s)) for s in sets], np.uint64).view(np.int64)
@@ -104,7 +104,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     several = Filter.of(needed, needed.count(), shared, "several")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             sets = [shingles(t.as_py(), words).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from parchment.llm.common import Shared, text_of
+from parchment.llm.common import Shared, keep, text_of, trim
 
 #: Open bins of a packer, and the pieces a packer is given at most, about.
 OPEN_BINS = 1024
@@ -38,7 +38,6 @@ REMEMBERED = 800_000
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _SEGMENT = re.compile(f"[{_SPACE}]*[{_LATIN}]++(?![^\\x00-\\x7f])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_workers: dict[str, "TokenBytes"] = {}
 
 
 class _Known(dict):
@@ -63,9 +62,7 @@ class TokenBytes:
 
     @classmethod
     def get(cls, path: str) -> "TokenBytes":
-        if path not in _workers:
-            _workers[path] = cls(path)
-        return _workers[path]
+        return keep(("tokens", path), lambda: cls(path))
 
     def encode(self, text: str) -> bytes:
         return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -156,6 +153,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, size: int, id_col: str = "
                 [batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 ["id", "piece", "start", "length", "ids_crc32"],
             )
+        trim()
 
     return rows.mapInArrow(run, schema)
 

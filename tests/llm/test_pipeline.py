@@ -135,6 +135,21 @@ def test_against_brute_force(spark, tmp_path):
     assert max(filled.values()) <= 2048 and sum(r.offset == 0 for r in got) == len(filled)
 
 
+def test_workers_remember_one_operator_at_a_time():
+    """A worker that stages share holds what the last one remembers, and nothing of those before."""
+    import pyarrow as pa
+
+    from parchment.llm import common
+    from parchment.llm.packing import TokenBytes
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    common.keep("languages", lambda: [0] * 1000)
+    known = TokenBytes.get(path)
+    assert list(common._kept) == [("tokens", path)] and TokenBytes.get(path) is known
+    parts = list(common.lean(iter([pa.RecordBatch.from_arrays([pa.array(range(2500))], ["x"])])))
+    assert [len(p) for p in parts] == [1000, 1000, 500] and not common._kept
+
+
 def test_folders_go_with_their_stage(make, spark):
     from parchment.llm.common import Shared, scratch
 
