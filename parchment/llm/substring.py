@@ -19,7 +19,6 @@ names over all documents, which verifies them.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import WORD, Shared, text_of
+from parchment.llm.common import Shared, text_of
 
 #: Words of a window; margin of the two low rounds; words between the margins.
 WINDOW, MARGIN = 13, 3
@@ -38,19 +37,13 @@ WINDOW, MARGIN = 13, 3
 HIGH = 15
 #: Characters of text whose symbols are in memory at a time.
 CHARACTERS = 2_000_000
-#: Words whose names a worker remembers; with more after a text, it forgets them all and goes on.
-REMEMBERED = 500_000
-_WORD = re.compile(WORD.encode())
+#: Bytes whose words are named at a time, about, and the bytes of words beyond which a word is named by a hash of its own.
+BYTES, LONG = 1 << 20, 32
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _N1, _N2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _FAR = np.uint64(2**64 - 1)
-_workers: dict[str, "_Names"] = {}
-
-
-class _Names(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = name = xxhash.xxh64_intdigest(word)
-        return name
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_LETTERS = np.random.default_rng(23).integers(0, 1 << 64, 256, np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -59,15 +52,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def words_of(text: str) -> list[bytes]:
-    return _WORD.findall(text.encode("utf-8", "surrogatepass"))
-
-
-def names_of(words: list[bytes]) -> np.ndarray:
-    known = _workers.setdefault("names", _Names())
-    out = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    if len(known) > REMEMBERED:
-        known.clear()
+def names_of(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Names of words of 64 bits: sums of powers over random numbers of their bytes, mixed; of long words a hash that no pattern of letters can trick."""
+    out = np.empty(len(starts), np.uint64)
+    edges = np.flatnonzero(np.r_[True, np.diff(starts // BYTES) != 0, True]) if len(starts) else []
+    for i, j in zip(edges[:-1], edges[1:], strict=True):
+        s = starts[i:j] - starts[i]
+        e = np.minimum(ends[i:j] - starts[i], s + LONG)
+        data = flat[starts[i] : starts[i] + e[-1]]
+        power, back = _power(max(len(data), BYTES), _M1)
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTERS[data] * power[: len(data)])])
+        out[i:j] = _mix((upto[e] - upto[s]) * back[s] + (e - s).astype(np.uint64) * _M2)
+    for i in np.flatnonzero(ends - starts > LONG).tolist():
+        out[i] = xxhash.xxh64_intdigest(flat[starts[i] : ends[i]])
     return out
 
 
@@ -119,12 +116,23 @@ class Texts:
     """Words of several documents in a row, their names, and what recompression makes of them."""
 
     def __init__(self, texts: list[str], window: int = WINDOW):
-        each = [words_of(t) for t in texts]
-        self.window, self.counts = window, np.array([len(w) for w in each], np.int64)
-        self.words = [w for ws in each for w in ws]
-        self.names = names_of(self.words)
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+        space = _SPACE[data]
+        # All words, with one space after each.
+        stays = ~space
+        stays[1:] |= ~space[:-1]
+        self.flat = np.where(space, np.uint8(32), data)[stays]
+        self.ends = np.flatnonzero(self.flat == 32)  # of words, their space excluded
+        self.starts = np.concatenate([np.zeros(1, np.int64), self.ends + 1])[:-1]
+        begins = stays & ~space
+        begins[1:] &= space[:-1]
+        self.window = window
+        upto = np.searchsorted(np.flatnonzero(begins), np.cumsum([0, *(len(t) + 1 for t in raw)]))
+        self.counts = np.diff(upto).astype(np.int64)
+        self.names = names_of(self.flat, self.starts, self.ends)
         self.n = len(self.names)
-        self.of = np.repeat(np.arange(len(each)), self.counts)
+        self.of = np.repeat(np.arange(len(raw)), self.counts)
         self.last = np.cumsum(self.counts)  # one past each document's last word
         self.first = self.last - self.counts
         self._upto: dict[int, np.ndarray] = {}
@@ -176,9 +184,17 @@ class Texts:
         s, e, of = np.r_[top.starts[long], self.first[whole]], np.r_[ends[long], self.last[whole]], np.r_[top.of[long], whole]
         order = np.argsort(of, kind="stable")
         s, e, of = s[order], e[order], of[order]
-        digests = [hashlib.blake2b(b" ".join(self.words[a:b]), digest_size=16).digest() for a, b in zip(s.tolist(), e.tolist(), strict=True)]
+        flat = memoryview(self.flat)
+        digests = [hashlib.blake2b(flat[a:b], digest_size=16).digest() for a, b in zip(self.starts[s].tolist(), self.ends[e - 1].tolist(), strict=True)]
         return np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2).astype(np.uint64), s, e, of
 
+    def without(self, covered: np.ndarray) -> list[bytes]:
+        """Each document's words but those covered, joined by one space."""
+        sizes = self.ends - self.starts + 1
+        flat = self.flat[np.repeat(~covered, sizes)].tobytes()
+        upto = np.cumsum(np.r_[0, np.bincount(self.of, np.where(covered, 0, sizes), len(self.counts))]).astype(np.int64).tolist()
+        return [flat[a : max(a, b - 1)] for a, b in zip(upto[:-1], upto[1:], strict=True)]
+
     def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Two 64-bit names of the windows that start at the words `at`."""
         return self.spans(at, at + self.window, _M2), self.spans(at, at + self.window, _N1)
@@ -270,10 +286,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Names that two documents have; partial results meet, not rows.
     common = listed.groupBy("name", "more").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
     common = shared.save(common.select("name", "more", "least"), "common")
+    shared.done()
     # For each document: shared phrases, and passages that a smaller document has.
     found = listed.join(common, ["name", "more"]).where("more = 0 OR least < key")
     found = found.groupBy("key", "sub").agg(F.collect_set(F.when(F.col("more") == 0, F.col("name"))).alias("low"), F.collect_set(F.when(F.col("more") != 0, F.col("name"))).alias("high"))
     found = shared.save(found.withColumnsRenamed({"key": "f_key", "sub": "f_sub"}), "found")
+    shared.done("named", "common")
     touched = rows.join(found, (F.col("key") == F.col("f_key")) & (F.col("sub") == F.col("f_sub")), "left").drop("f_key", "f_sub")
 
     def open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,14 +300,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 t = Texts(batch.column("text").to_pylist())
                 _, at = t.judge(_arrays(batch.column("low")), _arrays(batch.column("high")))
                 a, b = t.windows(at)
+                # Each window of a document once; they need not meet for that.
+                of = t.of[at]
+                order = np.argsort(_mix(a + of.astype(np.uint64) * _M1))
+                new = np.ones(len(at), bool)
+                new[1:] = (np.diff(of[order]) != 0) | (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+                once = np.sort(order[new])
+                at, a, b = at[once], a[once], b[once]
             keys = [pa.array(batch.column(c).to_numpy(zero_copy_only=False)[t.of[at]], pa.int64()) for c in ("key", "sub")]
             yield pa.RecordBatch.from_arrays([*keys, _longs(a), _longs(b)], ["key", "sub", "a", "b"])
 
-    judged = shared.save(touched.where("low IS NOT NULL").select("key", "sub", "text", "low", "high").mapInArrow(open_windows, "key long, sub long, a long, b long").distinct(), "windows")
+    judged = shared.save(touched.where("low IS NOT NULL").select("key", "sub", "text", "low", "high").mapInArrow(open_windows, "key long, sub long, a long, b long"), "windows")
     least = judged.groupBy("a", "b").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").drop("most")
+    shared.done()
     least = shared.save(least, "least")
+    shared.done()
     repeated = judged.join(least, ["a", "b"]).where("least < key").groupBy("key", "sub").agg(F.collect_set("a").alias("again"))
     repeated = shared.save(repeated.withColumnsRenamed({"key": "r_key", "sub": "r_sub"}), "repeated")
+    shared.done("windows", "least")
     last = touched.join(repeated, (F.col("key") == F.col("r_key")) & (F.col("sub") == F.col("r_sub")), "left").drop("r_key", "r_sub")
 
     kind = rows.schema["id"].dataType.simpleString()
@@ -303,10 +331,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 at = at[among(t.windows(at)[0], t.of[at], _arrays(batch.column("again")))]
                 covered |= cover(t.n, at, at + t.window)
             gone = np.bincount(t.of[covered], minlength=len(batch))
-            kept = []
-            for s, e, g in zip(t.first.tolist(), t.last.tolist(), gone.tolist(), strict=True):
-                words = t.words[s:e]
-                kept.append(b" ".join([w for w, c in zip(words, covered[s:e].tolist(), strict=True) if not c] if g else words))
+            kept = t.without(covered)
             sha = [hashlib.sha256(k).hexdigest() for k in kept]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(t.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary()).cast(pa.string())], [x.split()[0] for x in schema.split(", ")])
 

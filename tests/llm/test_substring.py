@@ -100,6 +100,28 @@ def test_levels_of_symbols():
     assert 20 < t.n / len(top.names) < 300 and top.starts[0] == 0
 
 
+@pytest.mark.parametrize("block", [1, 50, 1 << 20])
+def test_words_without_a_step_for_each(monkeypatch, block):
+    """Words, their names and what is kept of them come from the bytes of all texts at once."""
+    monkeypatch.setattr(M, "BYTES", block)
+    assert not hasattr(M, "words_of")
+    rng = random.Random(6)
+    words = ["a", "b", "ab", "ba", "aab", "é", "中", "x" * 32, "x" * 33, "x" * 70 + "ab", "x" * 70 + "ba", "\x0b", "\u00a0"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "\n\t", "  ", "\r", "\x0c"]) for _ in range(rng.randint(0, 40))) for _ in range(30)]
+    texts += ["", " ", "\n", " lead", "trail ", "\x00 \x1f"]
+    want = [re.findall(r"[^\x20\x09-\x0D]+", t) for t in texts]
+    flat = [w for ws in want for w in ws]
+    t = Texts(texts)
+    assert t.counts.tolist() == list(map(len, want)) and t.n == len(flat)
+    assert [t.flat[a:b].tobytes().decode() for a, b in zip(t.starts, t.ends, strict=True)] == flat
+    name = dict(zip(flat, t.names.tolist(), strict=True))
+    assert [name[w] for w in flat] == t.names.tolist() and len(set(name.values())) == len(name)
+    gone = np.array([rng.random() < 0.4 for _ in flat])
+    kept = iter(gone.tolist())
+    assert t.without(gone) == [" ".join([w for w in ws if not next(kept)]).encode() for ws in want]
+    assert Texts([]).n == 0 and Texts([]).without(np.zeros(0, bool)) == []
+
+
 def test_slices(monkeypatch, make, odd):
     import pyarrow as pa
 
