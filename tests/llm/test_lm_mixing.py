@@ -228,3 +228,13 @@ def test_held_out_above_the_base(spark):
     r = score(docs).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
     print(r[0] / r[2], r[1] / r[2])
     assert r[0] > r[1]
+
+
+def test_distinct_names():
+    from parchment.llm.lm_mixing import _distinct
+
+    rng = np.random.default_rng(9)
+    for names in (rng.integers(0, 50, 1000).astype(np.uint64), rng.integers(0, 1 << 63, 200).astype(np.uint64), np.array([7], np.uint64)):
+        keys, at, inverse = _distinct(names)
+        want, back = np.unique(names, return_inverse=True)
+        assert (keys == want).all() and (names[at] == want).all() and (inverse == back).all()
