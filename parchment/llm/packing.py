@@ -28,8 +28,8 @@ OPEN_BINS = 1024
 PIECES = 1_000_000
 #: First number of a packer's sequences that one piece fills; all others are smaller.
 FULL = 1 << 39
-#: Segments whose ids a worker remembers; with more after a text, it forgets them all and goes on.
-REMEMBERED = 800_000
+#: Segments whose ids a worker remembers, twice as many at most and those of one text; then those that were not asked for since the last time go. Longer segments than LETTERS seldom come again, and are not remembered.
+REMEMBERED, LETTERS = 150_000, 64
 
 # Unicode white space. A token of the byte-level vocabulary never goes on from another
 # character into white space, so a text can be cut before any run of it. A run of letters ends a
@@ -41,15 +41,22 @@ _SEGMENT = re.compile(f"[{_SPACE}]*[{_LATIN}]++(?![^\\x00-\\x7f])|[{_SPACE}]*[^{
 
 
 class _Known(dict):
-    """Segments' ids, found out when first asked for."""
+    """Segments' ids, found out when first asked for. What was there before the last turn() waits, and comes back when asked for."""
 
     def __init__(self, find):
-        self.find = find
+        self.find, self.before = find, {}
 
     def __missing__(self, segment: str) -> bytes:
-        self[segment] = out = self.find(segment)
+        out = self.before.pop(segment, None)
+        out = self.find(segment) if out is None else out
+        if len(segment) <= LETTERS:
+            self[segment] = out
         return out
 
+    def turn(self) -> None:
+        self.before = dict(self)
+        self.clear()
+
 
 class TokenBytes:
     """Token ids of texts as little-endian unsigned 32-bit bytes, by one tokenizer file."""
@@ -80,7 +87,7 @@ class TokenBytes:
             return self.encode(text)
         out = b"".join(map(self.known.__getitem__, _SEGMENT.findall(text)))
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known.turn()
         return out
 
 

@@ -69,3 +69,15 @@ def test_full_pieces_close_no_bin():
     (a, b, c, d, e, f) = got
     assert a[0] == c[0] and c[1] == 30 and e[0] == f[0] and f[1] == 40 and b[1] == d[1] == 0
     assert len({x for x, _ in got}) == 4 and len({x for x, _ in best_fit(iter(lengths), 50, 1)}) > 4
+
+
+def test_workers_remember_few_segments():
+    ids, asked = TokenBytes(PATH), []
+    ids.known.find = lambda segment: asked.append(segment) or b""
+    texts = [" ".join(["often", *(f"w{n}" for n in range(s, s + 1000)), "x" * 65]) for s in range(0, 700_000, 1000)]
+    most = 0
+    for text in texts:
+        ids(" " + text.translate(str.maketrans("0123456789", "abcdefghij")))
+        most = max(most, len(ids.known) + len(ids.known.before))
+    assert most < 310_000 and asked.count(" often") == 1
+    assert not any(len(s) > 64 for s in [*ids.known, *ids.known.before])
