@@ -2,6 +2,7 @@ import math
 import os
 import pickle
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -238,3 +239,27 @@ def test_distinct_names():
         keys, at, inverse = _distinct(names)
         want, back = np.unique(names, return_inverse=True)
         assert (keys == want).all() and (names[at] == want).all() and (inverse == back).all()
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_task():
+    slots = sum(1 << b for b in M.SPELL_BITS)
+    seen = np.arange(slots, dtype=np.uint32) % 50
+    sent = pickle.loads(pickle.dumps(M.Model.blank(M.SPELL_BITS, seen // 2, seen)))
+    assert peak_mb(lambda: sent.left_out) < 200 and peak_mb(lambda: sent.plain) < 150
+    assert sum(x.nbytes for x in vars(sent).values() if isinstance(x, np.ndarray)) < 1e6 and np.array_equal(sent.ones, seen // 2) and np.array_equal(sent.seen, seen)
+    assert peak_mb(lambda: M._count(M.SPELL_BITS, M.spelled([b"a"] * 1000))) < 100
+    # Words have one name wherever they stand.
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([True, False]), pa.array(["some words " * 200_000, "words, some words"])], ["id", "train", "text"])
+    assert peak_mb(lambda: M.Chunk(batch)) < 60
+    chunk = M.Chunk(batch)
+    assert chunk.sizes.tolist() == [400_001, 4] and len(set(chunk.names[:400_000:2].tolist())) == len(set(chunk.names[1:400_000:2].tolist())) == 1
+    assert chunk.names[-3:-1].tolist() == chunk.names[:2].tolist()
