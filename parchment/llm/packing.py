@@ -29,7 +29,7 @@ PIECES = 1_000_000
 #: First number of a packer's sequences that one piece fills; all others are smaller.
 FULL = 1 << 39
 #: Segments whose ids a worker remembers, twice as many at most and those of one text; then those that were not asked for since the last time go. Longer segments than LETTERS seldom come again, and are not remembered.
-REMEMBERED, LETTERS = 150_000, 64
+REMEMBERED, LETTERS = 300_000, 64
 
 # Unicode white space. A token of the byte-level vocabulary never goes on from another
 # character into white space, so a text can be cut before any run of it. A run of letters ends a
