@@ -63,7 +63,8 @@ def cell_text(inner: Column) -> Column:
 
 def row_cells(row: Column) -> Column:
     """Texts of a row's cells that are not empty, normalised."""
-    return F.filter(F.transform(extract_all(row, CELL_INNER), lambda c: normalize_space(cell_text(c))), lambda x: x != "")
+    text = lambda c: normalize_space(unescape_basic(F.regexp_replace(c, TAG, " ")))
+    return F.filter(F.transform(extract_all(row, CELL_INNER), text), lambda x: x != "")
 
 
 def html_to_text(c: Column) -> Column:

@@ -6,7 +6,7 @@ The engine's own inputs (pages, lines, words, blocks, tables) are stood in for b
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -17,8 +17,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_of_number(c: str):
-    return F.col(c).cast("decimal(12,2)").cast("string")
+def text_of_number(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("decimal(12,2)").cast("string")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,18 +94,25 @@ pairs AS (SELECT doc_id, array_to_string(w, ' ') AS source_text, array_to_string
 tokens_ AS (SELECT doc_id, source_text, ocr_text, list_distinct(string_split(source_text, ' ')) AS s, list_distinct(string_split(ocr_text, ' ')) AS o FROM pairs)"""
 
 
+def order_items(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """(orderkey, x): an order's items in their order as one array, with the columns of ITEM_ORDER after the key, and more. Items are shuffled once, by order."""
+    rows = read(spark, sf_dir, "lineitem")
+    return rows.groupBy(F.col("l_orderkey").alias("orderkey")).agg(F.sort_array(F.collect_list(F.struct(*ITEM_ORDER[1:], *more))).alias("x"))
+
+
 def order_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, page_no, orderkey, html, markdown): an order's items as a table, with styles, a span past the last row, and empty cells at some rows' ends."""
-    o = orders(spark, sf_dir).join(items(spark, sf_dir), "orderkey")
-    last = F.col("n") == F.max("n").over(Window.partitionBy("orderkey"))
-    first = F.when(last, '<td rowspan="9">').otherwise("<td>")
-    pad = F.when(F.col("n") % 3 == 0, "<td></td><td></td>").otherwise("")
-    row = F.concat(F.lit("<tr>"), first, F.lit("item"), "partkey", F.lit('</td><td style="color:red">'), "quantity", F.lit("</td><td>"), "price", F.lit("</td>"), pad, F.lit("</tr>"))
-    md = F.concat(F.lit("| item"), "partkey", F.lit(" | "), "quantity", F.lit(" | "), "price", F.lit(" |\n"))
-    rows = o.select("doc_id", "page_no", "orderkey", F.struct("n", row.alias("row"), md.alias("md")).alias("x"))
-    join = lambda f: F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x[f]), "")
-    html = F.concat(F.lit('<table border="1" style="w:1"><tr><th>품목</th><th>수량</th> <th>금액</th></tr>\n'), join("row"), F.lit("</table>"))
-    return rows.groupBy("doc_id", "page_no", "orderkey").agg(html.alias("html"), F.concat(F.lit("| 품목 | 수량 | 금액 |\n|---|---|---|\n"), join("md")).alias("markdown"))
+
+    def row(x, i):
+        first = F.when(i == F.size("x") - 1, '<td rowspan="9">').otherwise("<td>")
+        pad = F.when(i % 3 == 2, "<td></td><td></td></tr>").otherwise("</tr>")
+        return F.concat(F.lit("<tr>"), first, F.lit("item"), x.l_partkey, F.lit('</td><td style="color:red">'), text_of_number(x.l_quantity), F.lit("</td><td>"), text_of_number(x.l_extendedprice), F.lit("</td>"), pad)
+
+    md = lambda x: F.concat(F.lit("| item"), x.l_partkey, F.lit(" | "), text_of_number(x.l_quantity), F.lit(" | "), text_of_number(x.l_extendedprice), F.lit(" |\n"))
+    html = F.concat(F.lit('<table border="1" style="w:1"><tr><th>품목</th><th>수량</th> <th>금액</th></tr>\n'), F.array_join(F.transform("x", row), ""), F.lit("</table>"))
+    markdown = F.concat(F.lit("| 품목 | 수량 | 금액 |\n|---|---|---|\n"), F.array_join(F.transform("x", md), ""))
+    rows = orders(spark, sf_dir).join(order_items(spark, sf_dir, "l_quantity"), "orderkey")
+    return rows.select("doc_id", "page_no", "orderkey", html.alias("html"), markdown.alias("markdown"))
 
 
 SQL_TABLES = SQL_ORDERS + """,
@@ -135,11 +142,11 @@ def merged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(table_id, html): for each customer all orders in one table, each with a header of three cells, or of six if its key is divisible by 3."""
     o = orders(spark, sf_dir)
     head = F.when(F.col("orderkey") % 3 == 0, "<tr><th>구분</th><th>수량</th><th>금액</th><th>비율</th><th>계획</th><th>실적</th></tr>").otherwise("<tr><th>구분</th><th>수량</th><th>금액</th></tr>")
-    top = o.select("doc_id", F.struct("page_no", F.lit(0).alias("n"), head.alias("row")).alias("x"))
-    row = F.concat(F.lit("<tr><td>item"), "partkey", F.lit("</td><td>"), "quantity", F.lit("</td><td>"), "price", F.lit("</td></tr>"))
-    body = o.join(items(spark, sf_dir), "orderkey").select("doc_id", F.struct("page_no", "n", row.alias("row")).alias("x"))
-    rows = F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x.row), "")
-    return top.unionByName(body).groupBy("doc_id").agg(F.concat(F.lit("<table>"), rows, F.lit("</table>")).alias("html")).withColumnRenamed("doc_id", "table_id")
+    row = lambda x: F.concat(F.lit("<tr><td>item"), x.l_partkey, F.lit("</td><td>"), text_of_number(x.l_quantity), F.lit("</td><td>"), text_of_number(x.l_extendedprice), F.lit("</td></tr>"))
+    rows = o.join(order_items(spark, sf_dir, "l_quantity"), "orderkey", "left")
+    rows = rows.select("doc_id", F.struct("page_no", F.concat(head, F.coalesce(F.array_join(F.transform("x", row), ""), F.lit(""))).alias("rows")).alias("x"))
+    whole = F.array_join(F.sort_array(F.collect_list("x"))["rows"], "")
+    return rows.groupBy("doc_id").agg(F.concat(F.lit("<table>"), whole, F.lit("</table>")).alias("html")).withColumnRenamed("doc_id", "table_id")
 
 
 def line_json(spark: SparkSession, sf_dir: str) -> DataFrame:
