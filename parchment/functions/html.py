@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from parchment.functions.text import TAG, escape_html, normalize_space, or_empty, strip, unescape_basic
+from parchment.functions.text import TAG, bound, escape_html, normalize_space, or_empty, strip, unescape_basic
 
 # Patterns of the table formats.
 TABLE = r"(?is)(<table\b.*?</table>)"
@@ -18,7 +18,7 @@ CELL_OPEN = r"(?i)<t[dh]\b[^>]*>"
 CELL_PARTS = r"(?is)(<t[dh]\b[^>]*>)(?=(?:(.*?)</t[dh]>)?)"
 STYLE = r"""(?i)\s*style\s*=\s*["'][^"']*["']"""
 PIPE_TABLE = r"(?m)(?:^|\n)(\|.+\|\n\|[-:| ]+\|\n(?:\|.*\|\n?)*)"
-HEADER_HINT = "(구분|공정|가동율|계획|실적|수량|금액|달성율|진척율|양품|불량)"
+HEADER_HINT = "(?=[가-힣])(구분|공정|가동율|계획|실적|수량|금액|달성율|진척율|양품|불량)"
 BLOCK_TAG = r"(?i)</?(?:tr|p|div|section|article|h[1-6]|li|ul|ol|blockquote|br)\b[^>]*>"
 CELL_TAG = r"(?i)</?(?:td|th)\b[^>]*>"
 FRAGMENT = r"(?i)<\s*(table|div|p|h[1-6]|ul|ol|li|blockquote|span|section|article)\b"
@@ -101,50 +101,52 @@ def structure_score(shapes: Column) -> Column:
 
 def row_shape(row: Column) -> Column:
     """(cells, empty, columns) of a row: how many cells it has, how many of them hold nothing but tags and white space, and how many columns they span."""
-    cells = extract_all(row, CELL_INNER)
+    empty = lambda x: (x == "") | ~F.when(x.contains("<"), F.regexp_replace(x, TAG, "")).otherwise(x).rlike(r"\S")
+    spans = F.aggregate(extract_all(row, CELL_OPEN, 0), F.lit(0), lambda a, t: a + span_of(t, "colspan"))
     shape = lambda c: F.struct(
         F.size(c).alias("cells"),
-        F.size(F.filter(c, lambda x: ~F.regexp_replace(x, TAG, "").rlike(r"\S"))).alias("empty"),
-        F.aggregate(extract_all(row, CELL_OPEN, 0), F.lit(0), lambda a, t: a + span_of(t, "colspan")).alias("columns"),
+        F.size(F.filter(c, empty)).alias("empty"),
+        F.when(row.rlike("(?i)colspan"), spans).otherwise(F.regexp_count(row, F.lit(CELL_OPEN))).alias("columns"),
     )
-    return F.get(F.transform(F.array(cells), shape), F.lit(0))
+    return bound(extract_all(row, CELL_INNER), shape)
 
 
 def table_score(html: Column, markdown: Column, text: Column) -> Column:
     """How much a table candidate holds: rows, cells, header words, text, length and structure."""
     html, markdown = or_empty(html), or_empty(markdown)
     first = F.when(html != "", html).when(markdown != "", markdown).otherwise(normalize_space(text))
-    runs = F.regexp_count(normalize_space(F.regexp_replace(html, TAG, " ")), F.lit(TEXT_RUN))
+    runs = F.regexp_count(F.regexp_replace(html, TAG, " "), F.lit(TEXT_RUN))
     runs = runs + F.when((html == "") & (markdown != ""), F.regexp_count(markdown, F.lit(TEXT_RUN))).otherwise(0)
     rest = F.regexp_count(html, F.lit(CELL_INNER)) * 0.6 + F.regexp_count(first, F.lit(HEADER_HINT)) * 2.5 + runs * 0.2
     rest = rest + F.least(F.char_length(html), F.lit(4000)) / 400.0 + F.least(F.char_length(markdown), F.lit(2000)) / 500.0
-    # Rows are taken out once for their number and their shapes.
+    # Rows are taken out once for their number and their shapes, which are worked out once.
     shapes = F.transform(extract_all(html, ROW_INNER), row_shape)
-    return F.get(F.transform(F.array(shapes), lambda rows: F.size(rows) * 2.0 + structure_score(rows)), F.lit(0)) + rest
+    return bound(shapes, lambda rows: F.size(rows) * 2.0 + structure_score(rows)) + rest
 
 
 def table_cells(c: Column) -> Column:
     """Cell texts of an HTML table, or else of the native cell format; empty ones are left out."""
-    html = extract_all(c, r"(?s)<t[dh][^>]*>(.*?)</t[dh]>")
-    plain = F.filter(F.transform(html, lambda x: strip(F.regexp_replace(x, TAG, ""))), lambda x: x != "")
+    bare = lambda x: strip(F.when(x.contains("<"), F.regexp_replace(x, TAG, "")).otherwise(x))
     native = F.filter(F.transform(extract_all(c, NATIVE_CELL), strip), lambda x: x != "")
-    return F.when(F.size(html) > 0, plain).otherwise(native)
+    return bound(extract_all(c, r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"), lambda html: F.when(F.size(html) > 0, F.filter(F.transform(html, bare), lambda x: x != "")).otherwise(native))
 
 
 def table_rows(c: Column) -> Column:
     c = or_empty(c)
     rows, breaks = F.regexp_count(c, F.lit(r"(?i)<tr\b")), F.regexp_count(c, F.lit("<nl>"))
-    return F.when(rows > 0, rows).when(breaks > 0, breaks + 1).otherwise(F.regexp_count(c, F.lit("<xcel>")))
+    return F.coalesce(F.nullif(rows, F.lit(0)), F.nullif(breaks, F.lit(0)) + 1, F.regexp_count(c, F.lit("<xcel>")))
 
 
 def table_columns(c: Column) -> Column:
-    """Columns of the first row, spans in double quotes counted; null if there is no row."""
+    """Columns of the first row, spans in double quotes counted; null if there is no row. Rows after the first are not read."""
     c = or_empty(c)
-    first = F.get(F.regexp_extract_all(c, F.lit(ROW_INNER), F.lit(1)), F.lit(0))
-    spans = F.regexp_extract_all(first, F.lit(r'(?i)colspan\s*=\s*"(\d+)"'), F.lit(1))
-    wide = F.regexp_count(first, F.lit(r"(?i)<t[dh]\b")) + F.aggregate(spans, F.lit(0), lambda a, x: a + x.cast("int") - 1)
-    native = F.regexp_count(F.get(F.split(c, "<nl>|<xcel>"), F.lit(0)), F.lit("<(?:fcel|lcel|xcel)>"))
-    return F.when(first.isNotNull(), wide).otherwise(F.nullif(native, F.lit(0)))
+
+    def wide(first: Column) -> Column:
+        spans = F.regexp_extract_all(first, F.lit(r'(?i)colspan\s*=\s*"(\d+)"'), F.lit(1))
+        return F.regexp_count(first, F.lit(r"(?i)<t[dh]\b")) + F.aggregate(spans, F.lit(0), lambda a, x: a + x.cast("int") - 1)
+
+    native = F.regexp_count(F.get(F.split(c, "<nl>|<xcel>", 2), F.lit(0)), F.lit("<(?:fcel|lcel|xcel)>"))
+    return F.when(c.rlike(ROW_INNER), bound(F.regexp_extract(c, ROW_INNER, 1), wide)).otherwise(F.nullif(native, F.lit(0)))
 
 
 def table_format(c: Column) -> Column:
@@ -157,21 +159,25 @@ def is_fragment(c: Column) -> Column:
     return unescape_basic(strip(c)).rlike(FRAGMENT)
 
 
-def structure_tokens(html: Column) -> Column:
-    """Structure tokens of a table for training: rows, cells by their tag, and around spans over 1 tokens of their own."""
+def structure_tokens(rows: Column) -> Column:
+    """Structure tokens of a table's rows for training: rows, cells by their tag, and around spans over 1 tokens of their own."""
 
     def cell(full: Column) -> Column:
-        tag, opening = F.lower(F.regexp_extract(full, "(?i)^<(t[dh])", 1)), full
-        spans = {n: span_of(opening, n) for n in ("rowspan", "colspan")}
-        start = [F.when(spans[n] > 1, F.concat(F.lit(f"<{n}="), spans[n].cast("string"), F.lit(">"))) for n in ("rowspan", "colspan")]
-        end = [F.when(spans[n] > 1, F.lit(f"</{n}>")) for n in ("colspan", "rowspan")]
-        return F.array_compact(F.array(F.concat(F.lit("<"), tag, F.lit(">")), *start, *end, F.concat(F.lit("</"), tag, F.lit(">"))))
+        tag = F.lower(F.substring(full, 2, 2))
+        begin, end = F.concat(F.lit("<"), tag, F.lit(">")), F.concat(F.lit("</"), tag, F.lit(">"))
+
+        def spanned(s: Column) -> Column:
+            start = [F.when(s[n] > 1, F.concat(F.lit(f"<{n}="), s[n].cast("string"), F.lit(">"))) for n in ("rowspan", "colspan")]
+            return F.array_compact(F.array(begin, *start, *[F.when(s[n] > 1, F.lit(f"</{n}>")) for n in ("colspan", "rowspan")], end))
+
+        spans = F.struct(*[span_of(full, n).alias(n) for n in ("rowspan", "colspan")])
+        return F.when(full.rlike("(?i)span"), bound(spans, spanned)).otherwise(F.array(begin, end))
 
-    rows = extract_all(html, ROW_INNER)
     return F.flatten(F.transform(rows, lambda r: F.concat(F.array(F.lit("<tr>")), F.flatten(F.transform(extract_all(r, CELL_INNER, 0), cell)), F.array(F.lit("</tr>")))))
 
 
-def cell_characters(html: Column) -> Column:
-    """Characters of each cell's text."""
-    cells = F.flatten(F.transform(extract_all(html, ROW_INNER), lambda r: extract_all(r, CELL_INNER)))
-    return F.transform(cells, lambda c: F.filter(F.split(strip(unescape_basic(F.regexp_replace(c, TAG, ""))), ""), lambda x: x != ""))
+def cell_characters(rows: Column) -> Column:
+    """Characters of the text of each cell of a table's rows."""
+    cells = F.flatten(F.transform(rows, lambda r: extract_all(r, CELL_INNER)))
+    text = lambda c: F.when(c.contains("<") | c.contains("&"), unescape_basic(F.regexp_replace(c, TAG, ""))).otherwise(c)
+    return F.transform(cells, lambda c: F.filter(F.split(strip(text(c)), ""), lambda x: x != ""))

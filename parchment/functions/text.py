@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Patterns that must match as the formats have them.
 NUMBER = r"[-+]?\d[\d,]*(?:\.\d+)?%?"
 SPACE = r"(?U)[\s\x1c-\x1f]+"
+# The characters of SPACE.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 CIRCLED = r"[①-㊿]"
 TITLE = r"^(#{1,6}\s+|[■☑]\s*|\d+\.\s*)"
@@ -16,6 +20,11 @@ TAG = r"<[^>]+>"
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
@@ -27,7 +36,7 @@ def normalize_space(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """White space off both ends, inner runs as they are."""
-    return F.regexp_replace(or_empty(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(or_empty(c), F.lit(WHITE))
 
 
 def numbers(c: Column) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parchment.functions.html import ROW_INNER, cell_characters, clean_for_training, structure_tokens
-from parchment.functions.text import or_empty, strip
+from parchment.functions.html import ROW_INNER, cell_characters, clean_for_training, extract_all, structure_tokens
+from parchment.functions.text import bound, or_empty, strip
 
 # Prompts that the model is trained with.
 TABLE_PROMPT, TEXT_PROMPT = "Table Recognition:", "OCR:"
@@ -60,9 +60,11 @@ def split_counts(samples: DataFrame) -> DataFrame:
 
 
 def pubtab(tables: DataFrame) -> DataFrame:
-    """tables (…, html) with structure tokens and characters of cells; tables without rows are left out."""
-    rows = tables.where(F.regexp_count(or_empty(F.col("html")), F.lit(ROW_INNER)) > 0)
-    return rows.withColumn("structure", structure_tokens(F.col("html"))).withColumn("cells", cell_characters(F.col("html")))
+    """tables (…, html) with structure tokens and characters of cells; tables without rows are left out. Rows are taken out once."""
+    # Exploded, not filtered: a filter on what html gives would have html worked out for itself.
+    found = lambda rows: F.when(F.size(rows) > 0, F.array(F.struct(structure_tokens(rows).alias("structure"), cell_characters(rows).alias("cells"))))
+    rows = tables.select("*", F.explode(bound(extract_all(F.col("html"), ROW_INNER), found)).alias("_found"))
+    return rows.select(*[c for c in tables.columns if c not in ("structure", "cells")], "_found.structure", "_found.cells")
 
 
 def file_names(rows: DataFrame, order: list[str]) -> DataFrame:

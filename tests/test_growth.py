@@ -5,11 +5,8 @@ import time
 from pyspark.sql import functions as F
 
 from parchment.functions import html as H
-from parchment.operators import tables
-
-
-def plan(df):
-    return df._jdf.queryExecution().optimizedPlan().toString()
+from parchment.functions import text as X
+from parchment.operators import datasets, tables
 
 
 def test_split_tables_reads_a_long_table_once(spark):
@@ -20,3 +17,26 @@ def test_split_tables_reads_a_long_table_once(spark):
     got = tables.split_tables(spark.createDataFrame([(1, html)], "table_id long, html string")).orderBy("split_index").collect()
     assert time.time() - began < 60 and len(got) == 300
     assert [r.html for r in got[:-1]] == ["<table>" + head + row * 9 + "</table>"] * 299 and got[-1].html == "<table>" + head + row * 9 + odd + "</table>"
+
+
+def test_pubtab(spark):
+    rows = datasets.pubtab(spark.createDataFrame([('<table><tr><TH rowspan="2">a&lt;</TH><td>b</td></tr><tr></tr></table>',), ("none",)], "html string")).collect()
+    assert [(r.structure, r.cells) for r in rows] == [(["<tr>", "<th>", "<rowspan=2>", "</rowspan>", "</th>", "<td>", "</td>", "</tr>", "<tr>", "</tr>"], [["a", "<"], ["b"]])]
+
+
+def test_table_columns_and_cells(spark):
+    cases = [('<table><tr><td colspan="3">a</td><td><b> </b></td></tr><tr><td>x<i>y</i></td></tr></table>', 4, ["a", "xy"]), ("<tr></tr>", 0, []), ("<fcel>a</fcel><fcel> b</fcel><nl><fcel>c</fcel>", 2, ["a", "b", "c"]), ("", None, [])]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, html string").orderBy("i")
+    assert [(r[0], r[1]) for r in df.select(H.table_columns(F.col("html")), H.table_cells(F.col("html"))).collect()] == [c[1:] for c in cases]
+
+
+def test_grid_takes_no_time_for_places_that_no_cell_spans():
+    assert tables.to_grid([[("a", 2, 1), ("b", 1, 2)], [("c", 1, 1)], [("d", 9, 0), ("e", 1, 9)]]) == [["a", "b", "", *[""] * 6], ["", "c", "", *[""] * 6], ["e", *[""] * 8]]
+    began = time.time()
+    assert len(tables.html_to_pipe("<table>" + '<tr><td rowspan="1" colspan="2">a</td><td>b|</td></tr>' * 20_000 + "</table>").split("\n")) == 20_001 and time.time() - began < 2
+
+
+def test_strip_takes_off_what_normalize_space_takes_for_white_space(spark):
+    rows = [(i, f"{chr(i)}a{chr(i)}b{chr(i)}") for i in range(1, 0x3100) if not 0xD800 <= i < 0xE000]
+    got = spark.createDataFrame(rows, "i int, t string").select("i", X.strip(F.col("t")).alias("s"), X.normalize_space(F.col("t")).alias("n")).collect()
+    assert [r.i for r in got if r.s != chr(r.i) + f"a{chr(r.i)}b" + chr(r.i)] == [r.i for r in got if r.n == "a b"]
