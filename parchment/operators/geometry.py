@@ -9,6 +9,8 @@ from parchment.functions.text import normalize_space
 
 #: The box that stands for no box.
 NO_BOX = (0.0, 0.0, 10.0, 10.0)
+#: Joins of words hash what stands beside them, a page's few rows, so that no task sorts words.
+HASHED = "shuffle_hash"
 
 
 def no_box() -> Column:
@@ -48,7 +50,7 @@ def crop_box(box: DataFrame, padding: int = 24, least: tuple[int, int] = (160, 8
 
 def scale_words(words: DataFrame, pages: DataFrame) -> DataFrame:
     """words in page units to pixels of their page (rect_w, rect_h, width, height); blank tokens go."""
-    rows = words.join(pages, ["doc_id", "page_no"]).withColumn("token", F.trim("token")).where("token != ''")
+    rows = words.join(pages.hint(HASHED), ["doc_id", "page_no"]).withColumn("token", F.trim("token")).where("token != ''")
     sx, sy = (F.coalesce(F.col(a) / F.nullif(F.col(b), F.lit(0)), F.lit(1.0)) for a, b in (("width", "rect_w"), ("height", "rect_h")))
     return rows.withColumns({"x0": F.col("x0") * sx, "y0": F.col("y0") * sy, "x1": F.col("x1") * sx, "y1": F.col("y1") * sy}).select(words.columns)
 
@@ -58,7 +60,7 @@ def words_in_boxes(boxes: DataFrame, words: DataFrame) -> DataFrame:
     b, w = boxes.alias("b"), words.alias("w")
     on = (F.col("b.doc_id") == F.col("w.doc_id")) & (F.col("b.page_no") == F.col("w.page_no"))
     on &= (F.col("w.x0") >= F.col("b.x0")) & (F.col("w.y0") >= F.col("b.y0")) & (F.col("w.x1") <= F.col("b.x1")) & (F.col("w.y1") <= F.col("b.y1"))
-    return b.join(w, on).select("b.*", "w.word_ord", "w.token")
+    return b.hint(HASHED).join(w, on).select("b.*", "w.word_ord", "w.token")
 
 
 def title_anchors(titles: DataFrame, words: DataFrame) -> DataFrame:
@@ -70,7 +72,7 @@ def title_anchors(titles: DataFrame, words: DataFrame) -> DataFrame:
     holds = F.col("w.norm").contains(F.col("t.name"))
     held = F.col("t.name").contains(F.col("w.norm")) & (F.char_length("w.norm") >= F.greatest(F.lit(4), F.floor(F.char_length("t.name") / 2)))
     on = (F.col("t.doc_id") == F.col("w.doc_id")) & (F.col("t.page_no") == F.col("w.page_no")) & (F.col("t.name") != "") & (holds | held)
-    found = rows.join(w, on).groupBy("t.doc_id", "t.page_no", "t.title").agg(F.min_by((F.col("w.y0") + F.col("w.y1")) / 2, F.struct(F.when(holds, 0).otherwise(1), F.col("w.word_ord"))).alias("anchor_y"))
+    found = rows.hint(HASHED).join(w, on).groupBy("t.doc_id", "t.page_no", "t.title").agg(F.min_by((F.col("w.y0") + F.col("w.y1")) / 2, F.struct(F.when(holds, 0).otherwise(1), F.col("w.word_ord"))).alias("anchor_y"))
     return titles.join(found, ["doc_id", "page_no", "title"], "left")
 
 
@@ -120,7 +122,7 @@ def top_left_words(tables: DataFrame, words: DataFrame) -> DataFrame:
     }).alias("t")
     w_ = words.withColumns({"cx": (F.col("x0") + F.col("x1")) / 2, "cy": (F.col("y0") + F.col("y1")) / 2, "norm": normalize_space(F.col("token"))}).where("norm != ''").alias("w")
     on = (F.col("t.doc_id") == F.col("w.doc_id")) & (F.col("t.page_no") == F.col("w.page_no")) & F.col("w.cx").between(F.col("t.rx0"), F.col("t.rx1")) & F.col("w.cy").between(F.col("t.ry0"), F.col("t.ry1"))
-    found = t.join(w_, on, "left").groupBy("t.doc_id", "t.page_no", "t.block_ord").agg(F.array_sort(F.collect_list(F.when(F.col("w.norm").isNotNull(), F.struct("w.cx", "w.cy", "w.word_ord", "w.norm")))).alias("l"))
+    found = t.hint(HASHED).join(w_, on, "left").groupBy("t.doc_id", "t.page_no", "t.block_ord").agg(F.array_sort(F.collect_list(F.when(F.col("w.norm").isNotNull(), F.struct("w.cx", "w.cy", "w.word_ord", "w.norm")))).alias("l"))
     return found.select("doc_id", "page_no", "block_ord", F.array_distinct(F.transform("l", lambda x: x["norm"])).alias("words"))
 
 
@@ -138,7 +140,7 @@ def span_conflicts(cells: DataFrame, words: DataFrame, columns: DataFrame) -> Da
     on = (F.col("c.doc_id") == F.col("w.doc_id")) & (F.col("c.page_no") == F.col("w.page_no")) & (F.col("c.rowspan") > 1) & F.col("w.cx").between(F.col("c.cx0"), F.col("c.cx1")) & F.col("w.cy").between(F.col("c.ry0"), F.col("c.ry1"))
     on &= (F.col("w.x0") >= F.col("c.x0")) & (F.col("w.y0") >= F.col("c.y0")) & (F.col("w.x1") <= F.col("c.x1")) & (F.col("w.y1") <= F.col("c.y1"))
     keys = ["doc_id", "page_no", "block_ord", "cell_ord"]
-    found = c.join(w, on, "left_semi").select(*keys).withColumn("hit", F.lit(1))
+    found = c.hint(HASHED).join(w, on).select(*[F.col(f"c.{k}") for k in keys]).distinct().withColumn("hit", F.lit(1))
     return cells.join(found, keys, "left").withColumn("rowspan", F.col("rowspan") - F.coalesce("hit", F.lit(0))).drop("hit")
 
 

@@ -40,13 +40,24 @@ items_ AS (SELECT l_orderkey AS orderkey, row_number() OVER (PARTITION BY l_orde
     l_quantity::DECIMAL(12,2)::VARCHAR AS quantity, l_extendedprice::DECIMAL(12,2)::VARCHAR AS price, l_discount AS discount, l_returnflag AS returnflag FROM lineitem)"""
 
 
+def order_items(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """(orderkey, x): an order's items in their order as one array, with the columns of ITEM_ORDER after the key, and more. Items are shuffled once, by order."""
+    rows = read(spark, sf_dir, "lineitem")
+    return rows.groupBy(F.col("l_orderkey").alias("orderkey")).agg(F.sort_array(F.collect_list(F.struct(*ITEM_ORDER[1:], *more))).alias("x"))
+
+
+def line_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, page_no, lines: array of line_ord and line): a page's lines in their order. Rows are pages from the start, so that no task sorts lines."""
+    heads = F.when(F.col("status") == "F", F.array(*map(F.lit, ("1. Order", "구분", "수량", "금액", "합계")))).when(F.col("status") == "O", F.array(*map(F.lit, ("1. Order", "수량", "금액")))).otherwise(F.array(F.lit("1. Order")))
+    top = F.transform(heads, lambda h, i: F.struct(i.alias("line_ord"), h.alias("line")))
+    body = F.transform("x", lambda a, i: F.struct((i + 101).alias("line_ord"), F.concat(F.lit("item "), a.l_partkey, F.lit(" qty "), text_of_number(a.l_quantity)).alias("line")))
+    o = orders(spark, sf_dir).join(order_items(spark, sf_dir, "l_quantity"), "orderkey", "left")
+    return o.select("doc_id", "page_no", F.when(F.col("x").isNull(), top).otherwise(F.concat(top, body)).alias("lines"))
+
+
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, page_no, line_ord, line)"""
-    o = orders(spark, sf_dir)
-    heads = F.when(F.col("status") == "F", F.array(*map(F.lit, ("1. Order", "구분", "수량", "금액", "합계")))).when(F.col("status") == "O", F.array(*map(F.lit, ("1. Order", "수량", "금액")))).otherwise(F.array(F.lit("1. Order")))
-    top = o.select("doc_id", "page_no", F.posexplode(heads).alias("line_ord", "line"))
-    body = o.join(items(spark, sf_dir), "orderkey").select("doc_id", "page_no", (F.col("n") + 100).alias("line_ord"), F.concat(F.lit("item "), "partkey", F.lit(" qty "), "quantity").alias("line"))
-    return top.unionByName(body)
+    return line_lists(spark, sf_dir).select("doc_id", "page_no", F.inline("lines"))
 
 
 SQL_LINES = SQL_ORDERS + """,
@@ -57,7 +68,8 @@ page_lines AS (SELECT doc_id, page_no, i AS line_ord, ([CASE WHEN i >= 0 THEN '1
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, page_no, block_ord, block_id, block_type, text, html, markdown, confidence, bbox, review_reason, review)"""
-    i = orders(spark, sf_dir).join(items(spark, sf_dir), "orderkey")
+    i = orders(spark, sf_dir).join(order_items(spark, sf_dir, "l_discount", "l_returnflag"), "orderkey").select("doc_id", "page_no", "status", F.posexplode("x").alias("i", "x"))
+    i = i.select("doc_id", "page_no", "status", (F.col("i") + 1).alias("n"), F.col("x.l_linenumber").alias("line"), F.col("x.l_partkey").alias("partkey"), F.col("x.l_discount").alias("discount"), F.col("x.l_returnflag").alias("returnflag"))
     kind = F.when(F.col("returnflag") == "A", "text").when(F.col("returnflag") == "N", "table").otherwise("title")
     html = F.when((F.col("returnflag") == "N") & F.col("status").isin("N", "O"), "<table></table>").otherwise("")
     text = F.when((F.col("returnflag") == "N") | (F.col("line") % 4 == 0), "").when(F.col("line") % 4 == 1, "7 7 7").otherwise(F.concat(F.lit("item "), "partkey"))
@@ -94,12 +106,6 @@ pairs AS (SELECT doc_id, array_to_string(w, ' ') AS source_text, array_to_string
 tokens_ AS (SELECT doc_id, source_text, ocr_text, list_distinct(string_split(source_text, ' ')) AS s, list_distinct(string_split(ocr_text, ' ')) AS o FROM pairs)"""
 
 
-def order_items(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-    """(orderkey, x): an order's items in their order as one array, with the columns of ITEM_ORDER after the key, and more. Items are shuffled once, by order."""
-    rows = read(spark, sf_dir, "lineitem")
-    return rows.groupBy(F.col("l_orderkey").alias("orderkey")).agg(F.sort_array(F.collect_list(F.struct(*ITEM_ORDER[1:], *more))).alias("x"))
-
-
 def order_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, page_no, orderkey, html, markdown): an order's items as a table, with styles, a span past the last row, and empty cells at some rows' ends."""
 
@@ -163,9 +169,8 @@ def line_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, page_no, word_ord, x0, y0, x1, y1, token): words of lines on a page of 600 by 800."""
-    lines = page_lines(spark, sf_dir)
-    nth = F.row_number().over(Window.partitionBy("doc_id", "page_no").orderBy("line_ord"))
-    w = lines.withColumn("line_no", nth).select("doc_id", "page_no", "line_no", F.posexplode(F.split("line", " ")).alias("i", "token"))
+    pages = line_lists(spark, sf_dir).repartition("doc_id", "page_no").select("doc_id", "page_no", F.posexplode("lines").alias("at", "l"))
+    w = pages.select("doc_id", "page_no", (F.col("at") + 1).alias("line_no"), F.posexplode(F.split("l.line", " ")).alias("i", "token"))
     x, y = (F.col("i") % 12) * 40.0, F.col("line_no") * 14.0
     return w.select("doc_id", "page_no", (F.col("line_no") * 100 + F.col("i")).alias("word_ord"), x.alias("x0"), y.alias("y0"), (x + 36).alias("x1"), (y + 12).alias("y1"), "token")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parchment.functions import html as H
 from parchment.functions import text as X
-from parchment.operators import datasets, tables
+from parchment.operators import datasets, geometry, tables
 
 
 def test_split_tables_reads_a_long_table_once(spark):
@@ -40,3 +40,15 @@ def test_strip_takes_off_what_normalize_space_takes_for_white_space(spark):
     rows = [(i, f"{chr(i)}a{chr(i)}b{chr(i)}") for i in range(1, 0x3100) if not 0xD800 <= i < 0xE000]
     got = spark.createDataFrame(rows, "i int, t string").select("i", X.strip(F.col("t")).alias("s"), X.normalize_space(F.col("t")).alias("n")).collect()
     assert [r.i for r in got if r.s != chr(r.i) + f"a{chr(r.i)}b" + chr(r.i)] == [r.i for r in got if r.n == "a b"]
+
+
+def test_joins_of_words_do_not_sort_them(spark):
+    words = spark.createDataFrame([(1, 1, 101 + i, 1.0, 1.0, 2.0, 2.0, "a") for i in range(3)], "doc_id long, page_no int, word_ord int, x0 double, y0 double, x1 double, y1 double, token string")
+    page = spark.createDataFrame([(1, 1, 1, 1, 2, 2)], "doc_id long, page_no int, rect_w int, rect_h int, width int, height int")
+    box = spark.createDataFrame([(1, 1, 1, 0.0, 0.0, 3.0, 3.0, None)], "doc_id long, page_no int, block_ord int, x0 double, y0 double, x1 double, y1 double, anchor_y double")
+    cells = spark.createDataFrame([(1, 1, 1, 0, 2, 1)], "doc_id long, page_no int, block_ord int, cell_ord int, rowspan int, colspan int")
+    shape = box.drop("anchor_y").withColumns({"rows": F.lit(2), "cols": F.lit(1), "y0": F.lit(-3.0)})
+    hits = geometry.span_conflicts(cells, words, shape)
+    for df in (geometry.scale_words(words, page), geometry.words_in_boxes(box, words), geometry.top_left_words(box, words), hits):
+        assert "ShuffledHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+    assert [r.x1 for r in geometry.scale_words(words, page).collect()] == [4.0] * 3 and geometry.words_in_boxes(box, words).count() == 3 and [r.rowspan for r in hits.collect()] == [1]
