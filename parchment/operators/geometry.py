@@ -126,22 +126,25 @@ def top_left_words(tables: DataFrame, words: DataFrame) -> DataFrame:
     return found.select("doc_id", "page_no", "block_ord", F.array_distinct(F.transform("l", lambda x: x["norm"])).alias("words"))
 
 
+def cells_over_words(cells: DataFrame, words: DataFrame) -> DataFrame:
+    """(doc_id, page_no, block_ord, cell_ord) of the first-row cells (…, rowspan, colspan, start: columns before it; its table's x0 …, rows, cols) that
+    span rows and have a word, by its middle, in the second row's band under them. Bands and columns are taken to be even."""
+    cw, rh = (F.col("x1") - F.col("x0")) / F.col("cols"), (F.col("y1") - F.col("y0")) / F.col("rows")
+    c = cells.withColumns({"cx0": F.col("x0") + F.col("start") * cw, "cx1": F.col("x0") + (F.col("start") + F.col("colspan")) * cw, "ry0": F.col("y0") + rh, "ry1": F.col("y0") + 2 * rh}).alias("c")
+    w = words.withColumns({"cx": (F.col("x0") + F.col("x1")) / 2, "cy": (F.col("y0") + F.col("y1")) / 2}).alias("w")
+    on = (F.col("c.doc_id") == F.col("w.doc_id")) & (F.col("c.page_no") == F.col("w.page_no")) & (F.col("c.rowspan") > 1) & F.col("w.cx").between(F.col("c.cx0"), F.col("c.cx1")) & F.col("w.cy").between(F.col("c.ry0"), F.col("c.ry1"))
+    on &= (F.col("w.x0") >= F.col("c.x0")) & (F.col("w.y0") >= F.col("c.y0")) & (F.col("w.x1") <= F.col("c.x1")) & (F.col("w.y1") <= F.col("c.y1"))
+    return c.hint(HASHED).join(w, on).select("c.doc_id", "c.page_no", "c.block_ord", "c.cell_ord").distinct()
+
+
 def span_conflicts(cells: DataFrame, words: DataFrame, columns: DataFrame) -> DataFrame:
     """First-row cells (doc_id, page_no, block_ord, cell_ord, rowspan, colspan) of tables (columns: x0 …, rows, cols) -> new row span.
 
-    A cell that spans rows gives up one if a word stands, by its middle, in the second row's band under the cell: that place holds a
-    cell of its own. Bands and columns are taken to be even.
+    A cell that spans rows gives up one if a word stands under it (cells_over_words()): that place holds a cell of its own.
     """
     before = F.coalesce(F.sum("colspan").over(Window.partitionBy("doc_id", "page_no", "block_ord").orderBy("cell_ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    c = cells.withColumn("start", before).join(columns, ["doc_id", "page_no", "block_ord"])
-    cw, rh = (F.col("x1") - F.col("x0")) / F.col("cols"), (F.col("y1") - F.col("y0")) / F.col("rows")
-    c = c.withColumns({"cx0": F.col("x0") + F.col("start") * cw, "cx1": F.col("x0") + (F.col("start") + F.col("colspan")) * cw, "ry0": F.col("y0") + rh, "ry1": F.col("y0") + 2 * rh}).alias("c")
-    w = words.withColumns({"cx": (F.col("x0") + F.col("x1")) / 2, "cy": (F.col("y0") + F.col("y1")) / 2}).alias("w")
-    on = (F.col("c.doc_id") == F.col("w.doc_id")) & (F.col("c.page_no") == F.col("w.page_no")) & (F.col("c.rowspan") > 1) & F.col("w.cx").between(F.col("c.cx0"), F.col("c.cx1")) & F.col("w.cy").between(F.col("c.ry0"), F.col("c.ry1"))
-    on &= (F.col("w.x0") >= F.col("c.x0")) & (F.col("w.y0") >= F.col("c.y0")) & (F.col("w.x1") <= F.col("c.x1")) & (F.col("w.y1") <= F.col("c.y1"))
-    keys = ["doc_id", "page_no", "block_ord", "cell_ord"]
-    found = c.hint(HASHED).join(w, on).select(*[F.col(f"c.{k}") for k in keys]).distinct().withColumn("hit", F.lit(1))
-    return cells.join(found, keys, "left").withColumn("rowspan", F.col("rowspan") - F.coalesce("hit", F.lit(0))).drop("hit")
+    found = cells_over_words(cells.withColumn("start", before).join(columns, ["doc_id", "page_no", "block_ord"]), words).withColumn("hit", F.lit(1))
+    return cells.join(found, ["doc_id", "page_no", "block_ord", "cell_ord"], "left").withColumn("rowspan", F.col("rowspan") - F.coalesce("hit", F.lit(0))).drop("hit")
 
 
 def match_crops(tables: DataFrame, crops: DataFrame, by_ordinal: bool = True) -> DataFrame:

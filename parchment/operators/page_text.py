@@ -6,13 +6,13 @@ import re
 from itertools import count
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from parchment.functions.html import CELL_INNER, ROW_INNER, cell_text, extract_all, set_span, span_of
-from parchment.functions.text import normalize_space
-from parchment.operators.geometry import span_conflicts, title_anchors, top_left_words
+from parchment.functions.text import bound, normalize_space
+from parchment.operators.geometry import cells_over_words, title_anchors, top_left_words
 
 _FIRST_ROW = re.compile(r"(<tr\b[^>]*>)(.*?)(</tr>)", re.I | re.S)
 _CELL = re.compile(r"<(t[dh])(\b[^>]*)>(.*?)</t[dh]>", re.I | re.S)
@@ -46,33 +46,46 @@ def split_first_headers(tables: DataFrame, words: DataFrame) -> DataFrame:
     gets a cell of its own, and the cell one column less.
     """
     corner = top_left_words(tables, words).withColumnRenamed("words", "corner")
-    part = lambda i: F.regexp_extract("html", FIRST_CELL, i)
     rows = tables.join(corner, ["doc_id", "page_no", "block_ord"], "left")
-    attrs, text = part(3), normalize_space(cell_text(part(4)))
-    down, across = span_of(attrs, "rowspan"), span_of(attrs, "colspan")
     first, last = F.get("corner", F.lit(0)), F.element_at("corner", -1)
-    wanted = (F.regexp_count("html", F.lit(ROW_INNER)) >= 2) & (text != "") & (down >= 2) & (across >= 2) & (F.size("corner") >= 2) & (last == text) & (first != text)
-    own = F.concat(F.lit("<"), part(2), F.lit(' rowspan="'), down.cast("string"), F.lit('">'), first, F.lit("</"), part(2), F.lit(">"))
-    rest = F.concat(F.lit("<"), part(2), set_span(set_span(attrs, "colspan", across - 1), "rowspan", down), F.lit(">"), part(4), F.lit("</"), part(2), F.lit(">"))
-    return rows.withColumn("html", F.when(wanted, F.concat(part(1), own, rest, part(5))).otherwise(F.col("html"))).drop("corner")
+
+    def split(p: Column) -> Column:
+        text = normalize_space(cell_text(p.body))
+        wanted = (text != "") & (p.down >= 2) & (p.across >= 2) & (last == text) & (first != text)
+        own = F.concat(F.lit("<"), p.tag, F.lit(' rowspan="'), p.down.cast("string"), F.lit('">'), first, F.lit("</"), p.tag, F.lit(">"))
+        attrs = bound(set_span(p.attrs, "colspan", p.across - 1), lambda a: set_span(a, "rowspan", p.down))
+        rest = F.concat(F.lit("<"), p.tag, attrs, F.lit(">"), p.body, F.lit("</"), p.tag, F.lit(">"))
+        return F.when(wanted, F.concat(p.head, own, rest, p.tail))
+
+    # The first cell's parts are taken out once, and only where the corner can split it.
+    part = lambda i: F.regexp_extract("html", FIRST_CELL, i)
+    parts = F.struct(part(1).alias("head"), part(2).alias("tag"), part(3).alias("attrs"), part(4).alias("body"), part(5).alias("tail"))
+    spanned = lambda p: F.struct(p.head.alias("head"), p.tag.alias("tag"), p.attrs.alias("attrs"), p.body.alias("body"), p.tail.alias("tail"), span_of(p.attrs, "rowspan").alias("down"), span_of(p.attrs, "colspan").alias("across"))
+    able = (F.size("corner") >= 2) & (F.regexp_count("html", F.lit(ROW_INNER)) >= 2)
+    made = F.when(able, bound(bound(parts, spanned), split))
+    return rows.withColumn("html", F.coalesce(made, F.col("html"))).drop("corner")
+
+
+def _first_row(html: Column) -> Column:
+    """(rowspan, colspan) of the first row's cells; a cell without text spans one row here, so that it is left alone."""
+    filled = lambda c: normalize_space(cell_text(c)) != ""
+    return F.transform(extract_all(F.regexp_extract(html, ROW_INNER, 1), CELL_INNER, 0), lambda c: F.struct(F.when(filled(c), span_of(c, "rowspan")).otherwise(1).alias("rowspan"), span_of(c, "colspan").alias("colspan")))
 
 
 def first_row_cells(tables: DataFrame) -> DataFrame:
     """(…, cell_ord, rowspan, colspan) of the first row's cells; a cell without text spans one row here, so that it is left alone."""
-    cells = extract_all(F.get(extract_all(F.col("html"), ROW_INNER), F.lit(0)), CELL_INNER, 0)
-    rows = tables.select("doc_id", "page_no", "block_ord", F.posexplode(cells).alias("cell_ord", "cell"))
-    filled = normalize_space(cell_text(F.col("cell"))) != ""
-    return rows.select("doc_id", "page_no", "block_ord", "cell_ord", F.when(filled, span_of(F.col("cell"), "rowspan")).otherwise(1).alias("rowspan"), span_of(F.col("cell"), "colspan").alias("colspan"))
+    rows = tables.select("doc_id", "page_no", "block_ord", F.posexplode(_first_row(F.col("html"))).alias("cell_ord", "c"))
+    return rows.select("doc_id", "page_no", "block_ord", "cell_ord", "c.rowspan", "c.colspan")
 
 
 def shrink_spans(tables: DataFrame, words: DataFrame) -> DataFrame:
-    """Tables whose first row's cells span a row less where the page has words under them."""
-    key = ["doc_id", "page_no", "block_ord"]
-    cells = first_row_cells(tables)
-    cols = cells.groupBy(*key).agg(F.sum("colspan").alias("cols"))
-    shape = tables.select(*key, "x0", "y0", "x1", "y1", F.regexp_count("html", F.lit(ROW_INNER)).alias("rows")).where("rows >= 2").join(cols, key)
-    after = span_conflicts(cells, words, shape).withColumnRenamed("rowspan", "now")
-    hit = cells.join(after.drop("colspan"), [*key, "cell_ord"]).where("now < rowspan").groupBy(*key).agg(F.collect_list("cell_ord").alias("cells"))
+    """Tables whose first row's cells span a row less where the page has words under them. A table's cells are laid out within its row."""
+    key, box = ["doc_id", "page_no", "block_ord"], ["x0", "y0", "x1", "y1"]
+    width = lambda cells: F.aggregate(cells, F.lit(0), lambda a, c: a + c.colspan)
+    laid = lambda cells: F.transform(cells, lambda c, i: F.struct(i.alias("cell_ord"), c.rowspan.alias("rowspan"), c.colspan.alias("colspan"), width(F.slice(cells, F.lit(1), i)).alias("start"), width(cells).alias("cols")))
+    rows = tables.select(*key, *box, F.regexp_count("html", F.lit(ROW_INNER)).alias("rows"), F.explode(bound(_first_row(F.col("html")), laid)).alias("c"))
+    cells = rows.where("rows >= 2").select(*key, *box, "rows", "c.*")
+    hit = cells_over_words(cells, words).groupBy(*key).agg(F.collect_list("cell_ord").alias("cells"))
     return tables.join(hit, key, "left").withColumn("html", _lower_spans("html", "cells")).drop("cells")
 
 

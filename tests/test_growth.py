@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parchment.functions import html as H
 from parchment.functions import text as X
-from parchment.operators import datasets, geometry, tables
+from parchment.operators import datasets, geometry, page_text, tables
 
 
 def test_split_tables_reads_a_long_table_once(spark):
@@ -52,3 +52,10 @@ def test_joins_of_words_do_not_sort_them(spark):
     for df in (geometry.scale_words(words, page), geometry.words_in_boxes(box, words), geometry.top_left_words(box, words), hits):
         assert "ShuffledHashJoin" in df._jdf.queryExecution().executedPlan().toString()
     assert [r.x1 for r in geometry.scale_words(words, page).collect()] == [4.0] * 3 and geometry.words_in_boxes(box, words).count() == 3 and [r.rowspan for r in hits.collect()] == [1]
+
+
+def test_repair_from_words_works_its_tables_out_twice_at_most(spark):
+    words = spark.createDataFrame([(1, 1, 101, 1.0, 1.0, 2.0, 2.0, "a")], "doc_id long, page_no int, word_ord int, x0 double, y0 double, x1 double, y1 double, token string")
+    blocks = spark.createDataFrame([(1, 1, 1, "table", "", "<table></table>", 0.0, 0.0, 9.0, 9.0)], "doc_id long, page_no int, block_ord int, block_type string, text string, html string, x0 double, y0 double, x1 double, y1 double")
+    df = page_text.repair_from_words(blocks, words)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 24 and [(r.html, r.pdf_text_repaired) for r in df.collect()] == [("<table></table>", False)]
