@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parchment.functions import html as H
 from parchment.functions import text as X
-from parchment.operators import datasets, geometry, page_text, tables
+from parchment.operators import datasets, geometry, page_text, parsing, tables
 
 
 def test_split_tables_reads_a_long_table_once(spark):
@@ -59,3 +59,12 @@ def test_repair_from_words_works_its_tables_out_twice_at_most(spark):
     blocks = spark.createDataFrame([(1, 1, 1, "table", "", "<table></table>", 0.0, 0.0, 9.0, 9.0)], "doc_id long, page_no int, block_ord int, block_type string, text string, html string, x0 double, y0 double, x1 double, y1 double")
     df = page_text.repair_from_words(blocks, words)
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 24 and [(r.html, r.pdf_text_repaired) for r in df.collect()] == [("<table></table>", False)]
+
+
+def test_objects_are_handed_on_a_few_pages_at_a_time(spark):
+    many = "[" + ",".join('{"type":"text","text":"t%d"}' % i for i in range(parsing.OBJECTS * 2)) + "]"
+    pages = spark.createDataFrame([(1, 1, many), (2, 1, "no"), (3, 1, '{"type":"a"}')], "doc_id long, page_no int, raw string")
+    df = parsing.explode_objects(pages.coalesce(1))
+    assert "MapInArrow" in df._jdf.queryExecution().executedPlan().toString()
+    rows = df.collect()
+    assert [r.texts for r in rows] == [[f"t{i}"] for i in range(parsing.OBJECTS * 2)] + [[]] and rows[-1].doc_id == 3
