@@ -129,7 +129,7 @@ def top_left_words(tables: DataFrame, words: DataFrame) -> DataFrame:
 def cells_over_words(cells: DataFrame, words: DataFrame) -> DataFrame:
     """(doc_id, page_no, block_ord, cell_ord) of the first-row cells (…, rowspan, colspan, start: columns before it; its table's x0 …, rows, cols) that
     span rows and have a word, by its middle, in the second row's band under them. Bands and columns are taken to be even."""
-    cw, rh = (F.col("x1") - F.col("x0")) / F.col("cols"), (F.col("y1") - F.col("y0")) / F.col("rows")
+    cw, rh = ((F.col(b) - F.col(a)) / F.nullif(F.col(n), F.lit(0)) for a, b, n in (("x0", "x1", "cols"), ("y0", "y1", "rows")))
     c = cells.withColumns({"cx0": F.col("x0") + F.col("start") * cw, "cx1": F.col("x0") + (F.col("start") + F.col("colspan")) * cw, "ry0": F.col("y0") + rh, "ry1": F.col("y0") + 2 * rh}).alias("c")
     w = words.withColumns({"cx": (F.col("x0") + F.col("x1")) / 2, "cy": (F.col("y0") + F.col("y1")) / 2}).alias("w")
     on = (F.col("c.doc_id") == F.col("w.doc_id")) & (F.col("c.page_no") == F.col("w.page_no")) & (F.col("c.rowspan") > 1) & F.col("w.cx").between(F.col("c.cx0"), F.col("c.cx1")) & F.col("w.cy").between(F.col("c.ry0"), F.col("c.ry1"))

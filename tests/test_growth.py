@@ -67,4 +67,4 @@ def test_objects_are_handed_on_a_few_pages_at_a_time(spark):
     df = parsing.explode_objects(pages.coalesce(1))
     assert "MapInArrow" in df._jdf.queryExecution().executedPlan().toString()
     rows = df.collect()
-    assert [r.texts for r in rows] == [[f"t{i}"] for i in range(parsing.OBJECTS * 2)] + [[]] and rows[-1].doc_id == 3
+    assert [r.texts for r in rows] == [[f"t{i}"] for i in range(parsing.OBJECTS * 2)] + [[], []] and rows[-1].doc_id == 3
