@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parchment.functions import html as H
 from parchment.functions import text as X
-from parchment.operators import datasets, geometry, page_text, parsing, tables
+from parchment.operators import compare, datasets, geometry, page_text, parsing, tables
 
 
 def test_split_tables_reads_a_long_table_once(spark):
@@ -68,3 +68,18 @@ def test_objects_are_handed_on_a_few_pages_at_a_time(spark):
     assert "MapInArrow" in df._jdf.queryExecution().executedPlan().toString()
     rows = df.collect()
     assert [r.texts for r in rows] == [[f"t{i}"] for i in range(parsing.OBJECTS * 2)] + [[], []] and rows[-1].doc_id == 3
+
+
+def test_lines_that_cannot_come_near_are_not_compared(monkeypatch):
+    calls, real = [], compare.SequenceMatcher.ratio
+    monkeypatch.setattr(compare.SequenceMatcher, "ratio", lambda m: calls.append(1) or real(m))
+    lines = [f"item {i} qty 1.00" for i in range(12)]
+    block = {"block_id": "b", "block_type": "text", "t": lines[0], "review": True, "review_reason": []}
+    assert [x["similarity"] for x in compare.match_page(lines, [block])] == [1.0] and len(calls) <= 11
+    calls.clear()
+    assert compare.match_page(["구분"] * 12, [{**block, "t": "xyz"}])[0]["status"] == "extra_in_ocr" and not calls
+
+
+def test_equal_texts_are_not_compared(monkeypatch):
+    monkeypatch.setattr(compare, "SequenceMatcher", None)
+    assert compare.ratio("a b", "a b") == 1.0 and compare.word_diff("a <b", "a  <b") == "a &lt;b"
